@@ -52,8 +52,10 @@ DOUBLE_CONSONANT = r"(?:([^aeiouylsz])\1|[aeiou]y(?:yy)+|[^aeiouy](?:yy)+)$"
 _MARK = "#"
 
 
-# The word as the steps before left it.
+# The word as the steps before left it, and the suffix found in it.
 _W = "__w"
+_SUFFIX = "__suffix"
+_NO_SUFFIX = " ELSE '' END"
 
 
 def _cut(letters: int | str) -> str:
@@ -102,45 +104,59 @@ _FINAL_LL = f"""
 def _longest_suffix(table: dict[str, str]) -> str:
     """The longest suffix listed in ``table``, or an empty string."""
     longest_first = sorted(table, key=len, reverse=True)
-    return "CASE " + " ".join(f"WHEN {_ends(s)} THEN '{s}'" for s in longest_first) + " ELSE '' END"
+    return "CASE " + " ".join(f"WHEN {_ends(s)} THEN '{s}'" for s in longest_first) + _NO_SUFFIX
 
 
 def _replace_suffix(table: dict[str, str], measure: str) -> str:
-    rest = _cut("length(__suffix)")
-    fits = f"__suffix <> '' AND {_matches(rest, measure)}"
+    rest = _cut(f"length({_SUFFIX})")
+    fits = f"{_SUFFIX} <> '' AND {_matches(rest, measure)}"
     if "ion" in table:  # goes only after s or t
-        fits += f" AND (__suffix <> 'ion' OR {_matches(rest, '[st]$')})"
+        fits += f" AND ({_SUFFIX} <> 'ion' OR {_matches(rest, '[st]$')})"
     swaps = ", ".join(f"'{s}', '{r}'" for s, r in table.items() if r)
-    ending = f"coalesce(try_element_at(map({swaps}), __suffix), '')" if swaps else "''"
+    ending = f"coalesce(try_element_at(map({swaps}), {_SUFFIX}), '')" if swaps else "''"
     return f"CASE WHEN {fits} THEN concat({rest}, {ending}) ELSE {_W} END"
 
 
+_STEPS = [
+    _PLURAL,
+    _PAST_AND_GERUND,
+    _MEND,
+    _FINAL_Y,
+    *(
+        expression
+        for table, measure in (
+            (STEP_2, MEASURE_ABOVE_0), (STEP_3, MEASURE_ABOVE_0), (STEP_4, MEASURE_ABOVE_1)
+        )
+        for expression in (_longest_suffix(table), _replace_suffix(table, measure))
+    ),
+    _FINAL_E,
+    _FINAL_LL,
+]
+
+
 def with_stem(df: DataFrame, word: str = "tok", stem: str = "stem") -> DataFrame:
     """Add the stem of the lower-case column ``word`` as column ``stem``."""
     others = [f"`{c}`" for c in df.columns if c != stem]
     word = f"`{word}`"
-
-    def step(frame: DataFrame, expression: str) -> DataFrame:
-        return frame.selectExpr(*others, f"{expression} AS {_W}")
-
     known = f"coalesce({word}, '')"  # a column that cannot be NULL needs half the code
-    out = step(
-        df, f"CASE WHEN startswith({known}, 'y') THEN overlay({known} PLACING 'Y' FROM 1)"
-        f" ELSE {known} END"
-    )
-    for rewrite in (_PLURAL, _PAST_AND_GERUND, _MEND, _FINAL_Y):
-        out = step(out, rewrite)
-    for table, measure in (
-        (STEP_2, MEASURE_ABOVE_0), (STEP_3, MEASURE_ABOVE_0), (STEP_4, MEASURE_ABOVE_1)
-    ):
-        out = out.selectExpr(*others, _W, f"{_longest_suffix(table)} AS __suffix")
-        out = step(out, _replace_suffix(table, measure))
-    for rewrite in (_FINAL_E, _FINAL_LL):
-        out = step(out, rewrite)
+    columns = [
+        f"CASE WHEN startswith({known}, 'y') THEN overlay({known} PLACING 'Y' FROM 1)"
+        f" ELSE {known} END AS {_W}0"
+    ]
+    # One select: every step refers to the alias of the one before, which Spark
+    # turns into one projection per step.
+    at = 0
+    for expression in _STEPS:
+        sets_suffix = expression.endswith(_NO_SUFFIX)
+        name = f"{_SUFFIX}{at}" if sets_suffix else f"{_W}{at + 1}"
+        text = expression.replace(_W, f"{_W}{at}").replace(_SUFFIX, f"{_SUFFIX}{at}")
+        columns.append(f"{text} AS {name}")
+        at += not sets_suffix
+    last = f"{_W}{at}"
     whole = (
         f"CASE WHEN length({word}) <= 2 THEN {word}"
-        f" WHEN startswith({_W}, 'Y') THEN lower({_W}) ELSE {_W} END"
+        f" WHEN startswith({last}, 'Y') THEN lower({last}) ELSE {last} END"
     )
     # A generator stops Catalyst from pushing a later filter or join condition
     # on the stem down through the projections, multiplying them as it goes.
-    return out.selectExpr(*others, f"explode(array({whole})) AS `{stem}`")
+    return df.selectExpr(*others, *columns).selectExpr(*others, f"explode(array({whole})) AS `{stem}`")
