@@ -6,6 +6,7 @@ from collections import Counter
 import model
 from porter_by_letter import stem
 
+from tokenloom.operators import wordlists
 from tokenloom.operators.indexing import doc_freq, term_freq, tf_score, top_terms
 
 DOCS = {
@@ -68,3 +69,13 @@ def test_scores(lines, spark):
         assert set(ours) == set(counted)
         for key, tf in counted.items():
             assert math.isclose(ours[key], tf * math.log10(n_docs / df[key[1]] + 1), rel_tol=1e-12)
+
+
+def test_long_lists_and_term_tables_give_the_same_rows(lines, spark, monkeypatch):
+    terms = spark.createDataFrame([("run", 2), ("name", 3), ("hot", 1)], "stem string, df long")
+    small = sorted(term_freq(lines(DOCS), terms).collect()), sorted(doc_freq(lines(DOCS), STOP).collect())
+    monkeypatch.setattr(wordlists, "BROADCAST_ROWS", 0)
+    long = term_freq(lines(DOCS), terms)
+    assert "__salt" in long._jdf.queryExecution().analyzed().toString()
+    assert (sorted(long.collect()), sorted(doc_freq(lines(DOCS), STOP).collect())) == small
+    assert [r.tf for r in long.collect() if r.stem == "hot"] == [500]

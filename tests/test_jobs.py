@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from tokenloom.__main__ import main
-from tokenloom.plans import pipelines
+from tokenloom.plans import jobs
 from tokenloom.sinks import lines as out
 
 ARTICLES = {
@@ -38,7 +38,7 @@ def all_lines():
 def test_everything(spark, corpus, tmp_path):
     source, stop = corpus
     target = str(tmp_path / "out")
-    pipelines.run_all(spark, source, target, stop)
+    jobs.run_all(spark, source, target, stop)
     top = [line.split("\t") for line in read(f"{target}/top_words")]
     counts = [int(n) for _, n in top]
     assert counts == sorted(set(counts), reverse=True)
@@ -67,9 +67,9 @@ def test_everything(spark, corpus, tmp_path):
 def test_an_existing_target_is_an_error(spark, corpus, tmp_path):
     source, stop = corpus
     target = str(tmp_path / "twice")
-    pipelines.top_words_job(spark, source, target, stop)
+    jobs.top_words_job(spark, source, target, stop)
     with pytest.raises(PySparkException):
-        pipelines.top_words_job(spark, source, target, stop)
+        jobs.top_words_job(spark, source, target, stop)
 
 
 def test_single_jobs_and_command_line(spark, corpus, tmp_path, write_file):

@@ -7,7 +7,8 @@ import re
 import pytest
 from conftest import SF_DIR
 
-from tokenloom.plans.queries import QUERIES
+from tokenloom.operators.indexing import doc_freq, tf_score
+from tokenloom.plans.queries import QUERIES, STOP
 from tokenloom.sources.records import spread_small_input
 
 
@@ -67,3 +68,20 @@ def test_only_small_inputs_are_spread(spark):
     many = spark.range(0, 100, 1, 64)
     assert spread_small_input(many) is many
     assert spread_small_input(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_bucketed_documents_stay_where_they_are(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    bucketed = docs.write.bucketBy(8, "doc_id").option("path", str(tmp_path / "docs"))
+    bucketed.mode("overwrite").saveAsTable("bucketed_docs")
+    try:
+        table = spark.table("bucketed_docs")
+        frequencies = doc_freq(table, STOP)
+        text = frequencies._jdf.queryExecution().executedPlan().toString()
+        assert len(shuffles(text)) == 1 and re.search(r"hashpartitioning\(stem#\d+, \d+\)", text)
+        terms = spark.createDataFrame([("name", 2)], "stem string, df long")
+        scores = tf_score(table, terms, at_most=1)
+        assert not shuffles(scores._jdf.queryExecution().executedPlan().toString())
+        assert sorted(frequencies.collect()) == sorted(doc_freq(docs, STOP).collect())
+    finally:
+        spark.sql("DROP TABLE bucketed_docs")

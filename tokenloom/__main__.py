@@ -7,15 +7,15 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tokenloom.functions.scoring import ASSUMED_DOCS
-from tokenloom.plans import pipelines
+from tokenloom.plans import jobs
 
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tokenloom")
-    jobs = parser.add_subparsers(dest="job", required=True)
+    commands = parser.add_subparsers(dest="job", required=True)
 
     def job(name: str, *positional: str) -> argparse.ArgumentParser:
-        sub = jobs.add_parser(name)
+        sub = commands.add_parser(name)
         for argument in positional:
             sub.add_argument(argument)
         return sub
@@ -39,14 +39,14 @@ def _parser() -> argparse.ArgumentParser:
 
 
 JOBS = {
-    "word-count": pipelines.word_count_job,
-    "top-words": pipelines.top_words_job,
-    "pairs": pipelines.pairs_job,
-    "stripes": pipelines.stripes_job,
-    "doc-freq": pipelines.doc_freq_job,
-    "top-terms": pipelines.top_terms_job,
-    "score": pipelines.score_job,
-    "all": pipelines.run_all,
+    "word-count": jobs.word_count_job,
+    "top-words": jobs.top_words_job,
+    "pairs": jobs.pairs_job,
+    "stripes": jobs.stripes_job,
+    "doc-freq": jobs.doc_freq_job,
+    "top-terms": jobs.top_terms_job,
+    "score": jobs.score_job,
+    "all": jobs.run_all,
 }
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import counted_words, without_patterns, words
-from tokenloom.operators.wordlists import Words, fits_broadcast, word_frame
+from tokenloom.operators.wordlists import Words, fits_broadcast, stop_list, word_frame
 
 
 def word_count(lines: DataFrame, case_sensitive: bool = True, skip_patterns: Sequence[str] = ()) -> DataFrame:
@@ -26,6 +26,7 @@ def word_count(lines: DataFrame, case_sensitive: bool = True, skip_patterns: Seq
 def word_count_no_stop(records: DataFrame, stop_words: Words) -> DataFrame:
     """``word, n`` of the lower-case words that are not stop words."""
     found = records.select(F.explode(words(F.col("text"))).alias("word"))
+    stop_words = stop_list(stop_words)
     stop = word_frame(stop_words, records, "word")
     at_most = None if isinstance(stop_words, DataFrame) else len(stop_words)
     if fits_broadcast(stop, at_most):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tokenloom.functions.porter import with_stem
 from tokenloom.functions.scoring import ASSUMED_DOCS, term_score
 from tokenloom.functions.text import words
-from tokenloom.operators.wordlists import Words, drop_words, join_side
+from tokenloom.operators.wordlists import Words, drop_words, fits_broadcast, salted_join, stop_list
 
 
 def doc_freq(records: DataFrame, stop_words: Words) -> DataFrame:
@@ -17,8 +17,10 @@ def doc_freq(records: DataFrame, stop_words: Words) -> DataFrame:
     Stop words go before stemming, and stems that are stop words after it.
     Repeated words go record by record before anything moves; what is shuffled
     is each (stem, document) once per task, keyed by both, so that no frequent
-    stem ends up in one place.
+    stem ends up in one place.  Over a table bucketed by ``doc_id`` even that
+    shuffle goes away.
     """
+    stop_words = stop_list(stop_words)
     found = records.select("doc_id", F.explode(F.array_distinct(words(F.col("text")))).alias("tok"))
     stemmed = with_stem(drop_words(found, stop_words)).select("doc_id", "stem")
     kept = drop_words(stemmed, stop_words, "stem")
@@ -37,8 +39,12 @@ def term_freq(records: DataFrame, terms: DataFrame, at_most: int | None = None)
     ``at_most`` is a bound on the length of ``terms`` if one is known.
     """
     found = with_stem(records.select("doc_id", F.explode(words(F.col("text"))).alias("tok")))
-    listed = join_side(found.select("doc_id", "stem"), terms, "stem", "inner", at_most)
-    return listed.groupBy("doc_id", "stem", "df").agg(F.count(F.lit(1)).alias("tf"))
+    tf = F.count(F.lit(1)).alias("tf")
+    if fits_broadcast(terms, at_most):
+        return found.join(F.broadcast(terms), "stem").groupBy("doc_id", "stem", "df").agg(tf)
+    # Counted first, a frequent stem of a long document is one row.
+    counted = found.groupBy("doc_id", "stem").agg(tf)
+    return salted_join(counted, terms, "stem", "inner").select("doc_id", "stem", "df", "tf")
 
 
 def tf_score(

@@ -7,6 +7,8 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tokenloom.sources.lists import word_table
+
 # A side table is broadcast only up to these sizes.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 << 20
@@ -25,19 +27,27 @@ def fits_broadcast(side: DataFrame, at_most: int | None = None) -> bool:
     text_bytes = [
         F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in side.columns
     ]
-    rows, size = side.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(text_bytes[1:], text_bytes[0])), F.lit(0))).first()
+    row_bytes = sum(text_bytes[1:], text_bytes[0])
+    rows, size = side.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes), F.lit(0))).first()
     return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
 def join_side(left: DataFrame, side: DataFrame, on: str, how: str, at_most: int | None = None) -> DataFrame:
     """Join ``left`` with a side table that has one row per key.
 
-    A small side is broadcast.  A larger one is copied ``SALTS`` times and the
-    rows of ``left`` are dealt out over the copies, so that a key holding much
-    of ``left`` is shared between tasks.
+    A small side is broadcast; beyond that see :func:`salted_join`.
     """
     if fits_broadcast(side, at_most):
         return left.join(F.broadcast(side), on, how)
+    return salted_join(left, side, on, how)
+
+
+def salted_join(left: DataFrame, side: DataFrame, on: str, how: str) -> DataFrame:
+    """Join on a key that may make up much of ``left``, with any size of side.
+
+    The side is copied ``SALTS`` times and the rows of ``left``, told apart by
+    their other columns, are dealt out over the copies.
+    """
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(SALTS)).cast("int")
     copies = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return left.withColumn("__salt", salt).join(copies, [on, "__salt"], how).drop("__salt")
@@ -51,13 +61,17 @@ def short_list(words: Words) -> list[str] | None:
     return list(words) if len(words) <= LITERAL_WORDS else None
 
 
+def stop_list(words: Words) -> Words:
+    """``words`` as a list if short, so that its size need not be measured again."""
+    listed = short_list(words)
+    return words if listed is None else listed
+
+
 def word_frame(words: Words, like: DataFrame, name: str) -> DataFrame:
     """``words`` as a one-column frame ``name``, each word once."""
-    if not isinstance(words, DataFrame):
-        from tokenloom.sources.lists import word_table
-
-        return word_table(like.sparkSession, words).toDF(name)
-    return words.toDF(name).distinct()
+    if isinstance(words, DataFrame):
+        return words.toDF(name).distinct()
+    return word_table(like.sparkSession, words).toDF(name)
 
 
 def drop_words(tokens: DataFrame, words: Words, on: str = "tok", at_most: int | None = None) -> DataFrame:
@@ -71,6 +85,4 @@ def keep_words(tokens: DataFrame, words: Words, on: str = "tok", at_most: int |
 
 
 def _bound(words: Words, at_most: int | None) -> int | None:
-    if at_most is None and not isinstance(words, DataFrame):
-        return len(words)
-    return at_most
+    return len(words) if at_most is None and not isinstance(words, DataFrame) else at_most

@@ -1,0 +1 @@
+"""Jobs over files, registered queries and their SQL."""

@@ -1,0 +1 @@
+"""Text forms of the results."""

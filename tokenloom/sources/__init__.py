@@ -1,0 +1 @@
+"""Text records and side lists."""

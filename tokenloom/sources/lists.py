@@ -30,7 +30,7 @@ def _trimmed(column: str):
 
 def word_table(spark: SparkSession, words: Iterable[str]) -> DataFrame:
     """A one-column table ``word`` of the given words."""
-    return spark.range(1).select(F.explode(F.lit(sorted(set(words)))).alias("word"))
+    return spark.range(0, 1, 1, 1).select(F.explode(F.lit(sorted(set(words)))).alias("word"))
 
 
 def read_stop_words(spark: SparkSession, path: str) -> DataFrame:

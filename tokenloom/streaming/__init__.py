@@ -1,0 +1 @@
+"""Empty on purpose: everything this package computes is a batch result."""
