@@ -30,7 +30,7 @@ def spark_rows(df) -> tuple[list[str], list[tuple]]:
 
 
 def duck_rows(con, sql: str) -> tuple[list[str], list[tuple]]:
-    result = con.execute(sql).to_arrow_table()
+    result = con.sql(sql).to_arrow_table()
     columns = sorted(result.column_names)
     return columns, sorted(zip(*(result.column(c).to_pylist() for c in columns), strict=True))
 

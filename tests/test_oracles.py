@@ -20,7 +20,10 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_same_result(spark, con, name):
-    assert spark_rows(queries()[name](spark, SF_DIR)) == duck_rows(con, oracle_sql()[name])
+    ours, sql = queries()[name](spark, SF_DIR), oracle_sql()[name]
+    types = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+    assert {c: types[t] for c, t in ours.dtypes} == {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    assert spark_rows(ours) == duck_rows(con, sql)
 
 
 def test_entry(spark):

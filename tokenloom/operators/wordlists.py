@@ -76,12 +76,14 @@ def word_frame(words: Words, like: DataFrame, name: str) -> DataFrame:
 
 def drop_words(tokens: DataFrame, words: Words, on: str = "tok", at_most: int | None = None) -> DataFrame:
     """Rows of ``tokens`` whose word is not listed."""
-    return join_side(tokens, word_frame(words, tokens, on), on, "left_anti", _bound(words, at_most))
+    kept = join_side(tokens, word_frame(words, tokens, on), on, "left_anti", _bound(words, at_most))
+    return kept.select(*tokens.columns)
 
 
 def keep_words(tokens: DataFrame, words: Words, on: str = "tok", at_most: int | None = None) -> DataFrame:
     """Rows of ``tokens`` whose word is listed."""
-    return join_side(tokens, word_frame(words, tokens, on), on, "left_semi", _bound(words, at_most))
+    kept = join_side(tokens, word_frame(words, tokens, on), on, "left_semi", _bound(words, at_most))
+    return kept.select(*tokens.columns)
 
 
 def _bound(words: Words, at_most: int | None) -> int | None:

@@ -33,7 +33,7 @@ LINES = r"""lines AS (
         FROM (SELECT doc, row_key, string_split_regex(text, '\r\n|\r|\n') AS parts FROM docs))
   WHERE NOT (i = len(parts) AND parts[i] = ''))"""
 TOKENS = f"""toks AS (
-  SELECT doc, row_key, line_no, generate_subscripts(w, 1) - 1 AS pos, unnest(w) AS tok
+  SELECT doc, row_key, line_no, (generate_subscripts(w, 1) - 1)::INTEGER AS pos, unnest(w) AS tok
   FROM (SELECT doc, row_key, line_no, regexp_extract_all(lower(line), {WORD}) AS w FROM lines))"""
 STOPS = f"stop AS (SELECT unnest([{', '.join(_text(w) for w in STOP)}]) AS word)"
 COUNTS = """counts AS (
