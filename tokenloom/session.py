@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,18 +29,25 @@ def local_session(cores: int | str = 8, **settings: str) -> SparkSession:
     return spark
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the cluster's shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """URI of this session's checkpoint folder, which all executors share.
 
-    The folder is the one ``spark.checkpoint.dir`` names.  Only a local session
-    that names none gets a temporary one.
+    It lies in the folder ``spark.checkpoint.dir`` names.  Only a session that
+    runs in one process and names none gets a temporary one, removed at exit.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = context.getConf().get("spark.checkpoint.dir")
         if folder is None:
-            if not context.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="tokenloom-checkpoint-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.setCheckpointDir(folder)
+    return re.sub("^file:/(?!/)", "file:///", context._jsc.sc().getCheckpointDir().get())
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared checkpoint folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
