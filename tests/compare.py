@@ -13,7 +13,7 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-TABLES = ("documents", "conversations")
+TABLES = ("documents", "conversations", "pages", "benchmark")
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -45,6 +45,8 @@ def main(sf_dir: str, names: list[str]) -> None:
         if names and name not in names:
             continue
         start = time.time()
+        if name not in oracles:
+            continue
         ours = spark_rows(query(spark, sf_dir))
         middle = time.time()
         theirs = duck_rows(con, oracles[name])

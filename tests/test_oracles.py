@@ -6,7 +6,9 @@ import pytest
 from compare import connect, duck_rows, spark_rows
 from conftest import SF_DIR
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tokenloom.plans.oracles import ORACLES
+from tokenloom.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +17,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_result(spark, con, name):
-    ours, sql = queries()[name](spark, SF_DIR), oracle_sql()[name]
+    ours, sql = QUERIES[name](spark, SF_DIR), ORACLES[name]
     types = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
     assert {c: types[t] for c, t in ours.dtypes} == {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
     assert spark_rows(ours) == duck_rows(con, sql)
