@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tokenloom.llm.bytetext import Words, pieces, signed
 from tokenloom.session import settled
 
-DEPTH = 4
+DEPTH = 5
 SLICE = 8_000_000
 # Distinct keys that a task holds before it hands them on.
 HELD = 2_000_000
