@@ -15,8 +15,9 @@ in one document only is not repeated and drops out.  Of the others the
 dictionary keeps, once per distinct phrase, the first document and the number of
 documents.  A phrase with an earlier document is repeated as a whole.  If all
 documents of a trigger have the same phrase the first of them keeps it as a
-whole.  Only for what is left are the phrase's own suffixes, cut to ``LENGTH``
-bytes, compared with those of other phrases.
+whole.  Only for what is left, and only where the half of it next to the trigger
+is in several documents, are the phrase's own suffixes, cut to ``LENGTH`` bytes,
+compared with those of other phrases.
 
 Whether strings are equal is all that the removal needs from corpus order, so
 suffixes are brought together by 64-bit hash, not by a sort of the bytes: a
@@ -25,7 +26,8 @@ range sort would put the suffixes of a frequent passage into one task.
 *Spark.*  Documents are dealt once to blocks of about ``BLOCK_BYTES``.  Each
 step sends a block's distinct keys to buckets, folded to the first document and
 a count, and gets back what other blocks know of them; so a key held by a third
-of all documents is one entry per block.  The four steps read the same shuffle.
+of all documents is one entry per block.  All steps read the same shuffle, of
+compressed batches of rows.
 
 A null text is an empty one and comes back null; texts below ``LENGTH`` bytes
 lose nothing.  A null id counts as larger than any other; rows of equal id do
@@ -37,10 +39,11 @@ An empty table gives an empty one.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +53,8 @@ from tokenloom.llm.bytetext import pieces, prefix_hash, span_hashes
 LENGTH = 50
 GRAM = 16
 BLOCK_BYTES = 6 << 20
+# A task packs the rows of a block together as often as it has read so much.
+PACK_BYTES = 24 << 20
 LAST = (1 << 63) - 1
 
 REQUEST = "bucket int, blk long, step int, keys binary, first binary, docs binary"
@@ -69,11 +74,11 @@ def _least(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def parse(data: np.ndarray, off: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """Phrases of texts: text, first and last string start, hash of the trigger; then the running hash."""
+    """Phrases of texts: text, first and last string start, trigger's place and hash; then the running hash."""
     prefix = prefix_hash(data)
     none = np.zeros(0, np.int64)
     if len(data) < length:
-        return none, none, none, none.astype(np.uint64), prefix
+        return none, none, none, none, none.astype(np.uint64), prefix
     at = np.arange(len(data) - GRAM + 1)
     h = span_hashes(prefix, at, at + GRAM)
     trigger = _least(h, length - GRAM + 1)
@@ -84,7 +89,7 @@ def parse(data: np.ndarray, off: np.ndarray, length: int = LENGTH) -> tuple[np.n
     last = np.ones(len(trigger), bool)
     last[:-1] = new[1:] | ~whole[1:]
     lo, hi = np.flatnonzero(new & whole), np.flatnonzero(last & whole)
-    return text[lo], lo, hi, h[trigger[lo]], prefix
+    return text[lo], lo, hi, trigger[lo], h[trigger[lo]], prefix
 
 
 class Block:
@@ -102,7 +107,7 @@ class Block:
         self.parts = [(lo, data, off, parse(data, off, length)) for lo, _, data, off in pieces(self.texts)]
         gather = lambda f, kind: np.concatenate([np.zeros(0, kind), *map(f, self.parts)])
         self.doc = gather(lambda p: p[3][0] + p[0], np.int64)
-        self.trigger = gather(lambda p: p[3][3], np.uint64)
+        self.trigger = gather(lambda p: p[3][4], np.uint64)
         self.known = Keys(self.trigger, self.doc, self.ids)
 
     def phrases(self, docs_of_trigger: np.ndarray) -> None:
@@ -111,24 +116,48 @@ class Block:
         self.count = docs_of_trigger[self.known.where][many]
         self.doc = self.doc[many]
         keys, self.span, k = [], [], 0
-        for _, _, _, (text, lo, hi, _, prefix) in self.parts:
+        for _, _, _, (text, lo, hi, at, _, prefix) in self.parts:
             mine = many[k : k + len(text)]
             k += len(text)
             keys.append(span_hashes(prefix, lo[mine], hi[mine] + self.length))
-            self.span.append((lo[mine], hi[mine]))
+            self.span.append((lo[mine], hi[mine], at[mine]))
         self.known = Keys(np.concatenate([np.zeros(0, np.uint64), *keys]), self.doc, self.ids)
 
-    def suffixes(self, first: np.ndarray, docs: np.ndarray) -> None:
-        """Tell repeated phrases from those that are left; keys of the latter's strings."""
+    def sides(self, first: np.ndarray, docs: np.ndarray) -> None:
+        """Tell repeated phrases from those that are left; keys of the latter's sides.
+
+        A string holds its trigger and half of the other bytes on the left or on
+        the right of it.  So it is repeated only if that side is.
+        """
         self.whole = first[self.known.where] < self.ids[self.doc]
         left = ~self.whole & (docs[self.known.where] != self.count)
-        keys, doc, self.start, k = [], [], [], 0
-        for (_, _, _, (*_, prefix)), (lo, hi) in zip(self.parts, self.span, strict=True):
+        keys, doc, self.ranges, k = [], [], [], 0
+        half = (self.length - GRAM + 1) // 2
+        for (_, _, _, (*_, prefix)), (lo, hi, at) in zip(self.parts, self.span, strict=True):
             mine = left[k : k + len(lo)]
+            lo, hi, at, of = lo[mine], hi[mine], at[mine], self.doc[k : k + len(mine)][mine]
+            k += len(mine)
+            before, after = lo <= at - half, hi > at - half
+            self.ranges.append((
+                np.concatenate([lo[before], np.maximum(lo, at - half + 1)[after]]),
+                np.concatenate([np.minimum(hi, at - half)[before], hi[after]]),
+            ))
+            reach = self.length - half + 1
+            keys += [span_hashes(prefix, (at - half)[before], (at + GRAM)[before]), span_hashes(prefix, at[after], (at + reach)[after])]
+            doc += [of[before], of[after]]
+        self.side_doc = np.concatenate([np.zeros(0, np.int64), *doc])
+        self.known = Keys(np.concatenate([np.zeros(0, np.uint64), *keys]), self.side_doc, self.ids)
+
+    def suffixes(self, docs: np.ndarray) -> None:
+        """Keys of the strings whose side is in several documents."""
+        many = docs[self.known.where] > 1
+        keys, doc, self.start, k = [], [], [], 0
+        for (_, _, _, (*_, prefix)), (lo, hi) in zip(self.parts, self.ranges, strict=True):
+            mine = many[k : k + len(lo)]
             n = hi[mine] - lo[mine] + 1
-            start = np.repeat(lo[mine] - np.concatenate([[0], np.cumsum(n)[:-1]]) if len(n) else lo[mine], n) + np.arange(n.sum())
+            start = np.repeat(lo[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())
             keys.append(span_hashes(prefix, start, start + self.length))
-            doc.append(np.repeat(self.doc[k : k + len(lo)][mine], n))
+            doc.append(np.repeat(self.side_doc[k : k + len(lo)][mine], n))
             self.start.append(start)
             k += len(lo)
         self.suffix_doc = np.concatenate([np.zeros(0, np.int64), *doc])
@@ -138,7 +167,7 @@ class Block:
         """Bytes, removed bytes and runs, and the bytes that stay, of each document."""
         again = first[self.known.where] < self.ids[self.suffix_doc]
         out, k, j = [], 0, 0
-        for (_, data, off, _), (lo, hi), start in zip(self.parts, self.span, self.start, strict=True):
+        for (_, data, off, _), (lo, hi, _), start in zip(self.parts, self.span, self.start, strict=True):
             mine = self.whole[k : k + len(lo)]
             k += len(lo)
             single = start[again[j : j + len(start)]]
@@ -179,7 +208,7 @@ class Keys:
         used = np.flatnonzero(np.diff(edges))
         cut = [slice(edges[b], edges[b + 1]) for b in used]
         blobs = [[x[c].tobytes() for c in cut] for x in (self.keys, self.first, self.docs)]
-        if step == 1:  # only counts are asked for
+        if step in (1, 3):  # only counts are asked for
             blobs[1] = [b""] * len(cut)
         columns = [pa.array(used, pa.int32()), pa.array([blk] * len(cut), pa.int64()), pa.array([step] * len(cut), pa.int32())]
         return pa.Table.from_arrays([*columns, *(pa.array(b, pa.binary()) for b in blobs)], names=["bucket", "blk", "step", "keys", "first", "docs"])
@@ -225,11 +254,13 @@ def _ask(step: int, bits: int, length: int) -> Callable:
     """The requests of a step, from a block's documents and the replies so far."""
 
     def run(key: tuple, docs: pa.Table, replies: pa.Table | None = None) -> pa.Table:
-        block = Block(docs, length)
+        block = Block(unpacked(docs), length)
         if step > 1:
             block.phrases(block.known.told(replies, 1, bits)[1])
         if step > 2:
-            block.suffixes(*block.known.told(replies, 2, bits))
+            block.sides(*block.known.told(replies, 2, bits))
+        if step > 3:
+            block.suffixes(block.known.told(replies, 3, bits)[1])
         return block.known.requests(key[0].as_py(), step, bits)
 
     return run
@@ -244,12 +275,52 @@ def _first_ask(bits: int, length: int) -> Callable:
     return alone
 
 
+def _pack() -> Callable:
+    """Rows of a task packed by block: the shuffle moves compressed batches instead of rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def packed() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            order = pc.sort_indices(table.column("blk"))
+            table = table.take(order).combine_chunks()
+            blk = table.column("blk").to_numpy()
+            edges = np.flatnonzero(np.diff(blk, prepend=-1, append=-1))
+            rows = []
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                sink = pa.BufferOutputStream()
+                part = table.slice(lo, hi - lo).drop_columns(["blk"]).take(pa.array(range(hi - lo)))
+                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_table(part)
+                rows.append((int(blk[lo]), sink.getvalue().to_pybytes()))
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["blk", "rows"])
+
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size >= PACK_BYTES:
+                yield packed()
+                held, size = [], 0
+        if held:
+            yield packed()
+
+    return run
+
+
+def unpacked(table: pa.Table) -> pa.Table:
+    parts = [pa.ipc.open_stream(blob.as_buffer()).read_all() for blob in table.column("rows")]
+    return pa.concat_tables(parts)
+
+
 def _finish(bits: int, length: int, schema: T.StructType, with_text: bool) -> Callable:
     def run(key: tuple, docs: pa.Table, replies: pa.Table) -> pa.Table:
+        docs = unpacked(docs)
         block = Block(docs, length)
         block.phrases(block.known.told(replies, 1, bits)[1])
-        block.suffixes(*block.known.told(replies, 2, bits))
-        kept = block.kept(block.known.told(replies, 3, bits)[0])
+        block.sides(*block.known.told(replies, 2, bits))
+        block.suffixes(block.known.told(replies, 3, bits)[1])
+        kept = block.kept(block.known.told(replies, 4, bits)[0])
         ordered = docs.take(pa.array(block.order))
         columns = {name: ordered.column(name) for name in ordered.column_names}
         columns |= {
@@ -279,10 +350,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = True
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     bits = max(5, min(17, int(blocks).bit_length()))
-    dealt = docs.withColumn("blk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
+    dealt = docs.withColumn("blk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).mapInArrow(_pack(), "blk long, rows binary")
     asked = dealt.groupBy("blk").applyInArrow(_first_ask(bits, length), REQUEST)
     replies = asked.groupBy("bucket").applyInArrow(_answer, REPLY)
-    for step in (2, 3):
+    for step in (2, 3, 4):
         asked = dealt.groupBy("blk").cogroup(replies.groupBy("blk")).applyInArrow(_ask(step, bits, length), REQUEST)
         replies = replies.unionByName(asked.groupBy("bucket").applyInArrow(_answer, REPLY))
     report = [T.StructField(f"__pfp_{n}", T.LongType()) for n in ("bytes", "removed", "spans")] + [T.StructField("__pfp_sha256", T.StringType())]
