@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.llm.bytetext import Words, binary, digest, mix, pieces, shingles, signed
 from tokenloom.llm.components import components
+from tokenloom.operators.wordlists import fits_broadcast
 from tokenloom.session import settled
 
 WIDTH = 5
@@ -184,8 +185,9 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     side = F.broadcast(ids) if ids.count() <= FEW_IDS else ids
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(side, "id", "left_semi")
     sets = texts.mapInArrow(_sets(width), "id long, grams binary")
+    few = F.broadcast(pairs) if fits_broadcast(pairs) else pairs
     joined = (
-        pairs.join(sets.withColumnRenamed("id", "a").withColumnRenamed("grams", "x"), "a")
+        sets.withColumnRenamed("id", "a").withColumnRenamed("grams", "x").join(few, "a")
         .join(sets.withColumnRenamed("id", "b").withColumnRenamed("grams", "y"), "b")
         .select("a", "b", "x", "y")
     )
@@ -204,8 +206,8 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
         .agg(F.min("doc_id").alias("id"), *[F.any_value(c).alias(c) for c in ("n", "prefix", "b0", "b1", "weight")])
     )
     classes = settled(classes)
-    entries = classes.select("id", "n", "weight", F.posexplode("prefix").alias("p", "gram"))
-    facts = classes.select("id", "n", "b0", "b1")
+    entries = classes.select("id", "n", F.posexplode("prefix").alias("p", "gram"))
+    facts = classes.select("id", "n", "b0", "b1", "weight")
 
     def pass_suffix(pairs: DataFrame) -> DataFrame:
         return (
@@ -213,11 +215,11 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
             .where(suffix_filter("x", "y", percent)).select("a", "b").distinct()
         )
 
-    hubs = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("c"), F.max(F.struct("weight", "id", "n", "p")).alias("h")).where("c > 1")
-    hubs = hubs.select("gram", F.col("h.id").alias("id"), F.col("h.n").alias("n"), F.col("h.p").alias("p"), F.col("h.weight").alias("weight"))
-    shared = settled(
-        entries.alias("x").join(hubs.alias("y"), F.col("x.gram") == F.col("y.gram"))
-        .select("x.*", F.col("y.id").alias("hub"), F.col("y.n").alias("hub_n"), F.col("y.p").alias("hub_p"), F.col("y.weight").alias("hub_weight"))
+    common = entries.select("gram").groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram")
+    met = settled(entries.join(common, "gram", "left_semi").join(facts.select("id", "weight"), "id"))
+    hubs = met.groupBy("gram").agg(F.max(F.struct("weight", "id", "n", "p")).alias("h"))
+    shared = met.alias("x").join(hubs.alias("y"), F.col("x.gram") == F.col("y.gram")).select(
+        "x.*", F.col("y.h.id").alias("hub"), F.col("y.h.n").alias("hub_n"), F.col("y.h.p").alias("hub_p"), F.col("y.h.weight").alias("hub_weight")
     )
     star = shared.select(F.struct("id", "n", "p").alias("x"), F.struct(F.col("hub").alias("id"), F.col("hub_n").alias("n"), F.col("hub_p").alias("p")).alias("y"), "hub_weight")
     star = star.where("x.id <> y.id").where(may_link("x", "y", percent)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), "hub_weight").distinct()
@@ -226,7 +228,7 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     links = verified(best, rows, width, percent)
     parts = settled(components(links))
 
-    placed = shared.select("gram", "id", "n", "p").join(parts, "id", "left").withColumn("part", F.coalesce("component", "id"))
+    placed = met.select("gram", "id", "n", "p").join(parts, "id", "left").withColumn("part", F.coalesce("component", "id"))
     open_grams = placed.groupBy("gram").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("gram")
     left = settled(placed.join(open_grams, "gram", "left_semi").join(facts.select("id", "b0", "b1"), "id").select("gram", "id", "n", "p", "part", "b0", "b1"))
     rest = left.alias("x").join(
