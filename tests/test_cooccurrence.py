@@ -113,7 +113,23 @@ def test_folds_agree(lines):
             rows = by_line.filter((F.col("doc_id") == doc) & (F.col("line_no") == i)) if i < 3 else None
             if rows is not None:
                 assert as_counter(rows, "w1", "w2") == model.pairs([line], set(VOCABULARY), 2)
-    assert as_counter(cooc.refold(by_line), "w1", "w2") == pair_counts(df, VOCABULARY, 2)
+    folded = cooc.refold(cooc.couple_counts_by_line(df, VOCABULARY, 2))
+    assert as_counter(folded, "w1", "w2") == pair_counts(df, VOCABULARY, 2)
+
+
+@pytest.mark.parametrize("unused", [0, 2_001])
+def test_records_that_share_an_id_stay_apart(spark, unused):
+    df = spark.createDataFrame([("k", 0, t) for t in ("a x", "b y", "z a")], "doc_id string, line_no long, text string")
+    listed = ["a", "b", "x", "y", "z"] + [f"unused{i}" for i in range(unused)]
+    found = {(r.w1, r.w2): r.n for r in cooc.pairs(cooc.couple_counts(df, listed, 1)).collect() if r.w1 < r.w2}
+    assert found == {("a", "x"): 1, ("a", "z"): 1, ("b", "y"): 1}
+    by_line = cooc.couple_counts_by_line(df, listed, 1)
+    assert by_line.count() == 3 and by_line.columns == ["doc_id", "line_no", "lo", "hi", "n"]
+
+
+def test_fold_by_line_needs_no_shuffle(lines):
+    plan = cooc.pairs_by_line(lines({"x": ["a b a", "b a"]}), VOCABULARY, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
 
 
 def test_invariants_on_test_data(spark):

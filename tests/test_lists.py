@@ -48,10 +48,21 @@ def test_skip_patterns_keep_file_order(spark, write_file):
     assert lists.read_skip_patterns(spark, [first, second]) == ["b+", ",", " a"]
 
 
-def test_too_many_skip_patterns(spark, write_file):
-    path = write_file("many.txt", "\n".join(f"x{i}" for i in range(lists.MAX_SKIP_PATTERNS + 1)))
-    with pytest.raises(ValueError):
-        lists.read_skip_patterns(spark, path)
+def test_many_skip_patterns_and_repeats(spark, write_file):
+    path = write_file("many.txt", "\n".join(["a"] * 501 + ["b", "c"] + [f"x{i}" for i in range(600)]))
+    assert lists.read_skip_patterns(spark, path) == ["a", "b", "c"] + [f"x{i}" for i in range(600)]
+
+
+def test_document_frequency_below_one(spark, write_file):
+    path = write_file("terms.tsv", "a\t1\nb\t0\n")
+    with pytest.raises(Exception, match="below 1: b 0"):
+        lists.read_term_table(spark, path).collect()
+
+
+def test_long_list_is_no_literal(spark):
+    words = [f"w{i}" for i in range(60_000)]
+    table = lists.word_table(spark, words)
+    assert "w59999" not in table._jdf.queryExecution().optimizedPlan().toString()[:100_000] and table.count() == 60_000
 
 
 def test_default_stop_words():

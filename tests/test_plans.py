@@ -42,7 +42,7 @@ def test_common_rules(spark, name):
     assert columns <= {"doc_id", "text", "conv_id", "turn"}
 
 
-@pytest.mark.parametrize("name", ["word_count", "word_count_no_stop", "doc_freq", "term_freq", "cooc_pairs_by_line"])
+@pytest.mark.parametrize("name", ["word_count", "word_count_no_stop", "doc_freq", "term_freq", "cooc_pairs_d2"])
 def test_counts_fold_before_they_move(spark, name):
     assert "partial_count" in plan(spark, name)
 

@@ -48,6 +48,12 @@ def without_terminator(raw_line: Column) -> Column:
     return F.rtrim(raw_line, F.lit("\r\n"))
 
 
+# As many replacements are nested in one expression; a longer list is folded over an array.
+NESTED_PATTERNS = 40
+
+
 def without_patterns(text: Column, patterns: Sequence[str]) -> Column:
-    """``text`` with every match of every pattern removed, pattern by pattern."""
+    """``text`` with every match of every pattern removed, pattern by pattern, however many there are."""
+    if len(patterns) > NESTED_PATTERNS:
+        return F.aggregate(F.lit(list(patterns)), text, lambda t, p: F.regexp_replace(t, p, F.lit("")))
     return reduce(lambda t, p: F.regexp_replace(t, F.lit(p), F.lit("")), patterns, text)

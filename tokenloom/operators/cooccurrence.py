@@ -60,16 +60,18 @@ def couples(lines: DataFrame, vocabulary: Words, d: int, keys: tuple[str, ...] =
     listed = short_list(vocabulary)
     if listed is None:
         return couples_by_block(lines, vocabulary, d, keys)
+    found = _couples_of_line(lines, listed, d, keys)
+    return found.select(*keys, F.explode("couples").alias("c")).select(*keys, "c.lo", "c.hi", "c.dist")
+
+
+def _couples_of_line(lines: DataFrame, listed: list[str], d: int, keys: tuple[str, ...]) -> DataFrame:
+    """``*keys, couples``: the couples of each line as one array."""
 
     def hit(w: Column, p: Column) -> Column:
         return F.when(w.isin(listed), F.struct(p.alias("p"), w.alias("w")))
 
     hits = F.filter(F.transform(words(F.col("text")), hit), lambda h: h.isNotNull())
-    return (
-        lines.select(*keys, hits.alias("hits"))
-        .select(*keys, F.explode(_couples(F.col("hits"), d)).alias("c"))
-        .select(*keys, "c.lo", "c.hi", "c.dist")
-    )
+    return lines.select(*keys, hits.alias("hits")).select(*keys, _couples(F.col("hits"), d).alias("couples"))
 
 
 def couples_by_block(
@@ -81,20 +83,26 @@ def couples_by_block(
     block and, if a hit ``d`` before it lies in the block before, to that one
     too, where it is only looked at.  No group outgrows ``block + d`` hits.
     """
+    if d < 0:
+        raise ValueError("the distance must not be negative")
     block = max(block, d, 1)
     if isinstance(vocabulary, DataFrame):
         vocabulary = settled(vocabulary)
-    found = keep_words(tokens(lines), vocabulary)
+    # A number of its own for every record: rows may share a doc_id and line_no.
+    own_key = F.struct(F.monotonically_increasing_id().alias("record"), *keys)
+    records = lines.select(own_key.alias("doc_id"), F.lit(0).cast("long").alias("line_no"), "text")
+    found = keep_words(tokens(records), vocabulary)
     position = F.col("pos")
     own = F.floor(position / block)
     seen_from = F.floor(F.greatest(position - d, F.lit(0)) / block)
     placed = found.select(
-        "doc_id", "line_no", F.struct(position.alias("p"), F.col("tok").alias("w")).alias("hit"),
+        F.col("doc_id").alias("record"), F.struct(position.alias("p"), F.col("tok").alias("w")).alias("hit"),
         F.explode(F.array_distinct(F.array(own, seen_from))).alias("block"),
     )
-    grouped = placed.groupBy("doc_id", "line_no", "block").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
+    grouped = placed.groupBy("record", "block").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
     of_block = _couples(F.col("hits"), d, lambda a: F.floor(a["p"] / block) == F.col("block"))
-    return grouped.select(*keys, F.explode(of_block).alias("c")).select(*keys, "c.lo", "c.hi", "c.dist")
+    given = [F.col(f"record.{k}") for k in keys]
+    return grouped.select(*given, F.explode(of_block).alias("c")).select(*keys, "c.lo", "c.hi", "c.dist")
 
 
 def couple_counts(lines: DataFrame, vocabulary: Words, d: int = 1) -> DataFrame:
@@ -135,22 +143,56 @@ def stripe_rows(counts: DataFrame) -> DataFrame:
 def stripes(rows: DataFrame) -> DataFrame:
     """``[...,] word, stripe``: a map neighbour -> count for every word.
 
-    Works on counted rows: a stripe holds each listed word at most once.
+    Works on counted rows: a stripe holds each listed word at most once.  A map
+    is one row, so this form is for short lists; :func:`stripe_rows` is for any.
     """
     keys = [c for c in rows.columns if c not in ("neighbour", "n")]
     entries = F.array_sort(F.collect_list(F.struct("neighbour", "n")))
     return rows.groupBy(*keys).agg(F.map_from_entries(entries).alias("stripe"))
 
 
+def couple_counts_by_line(lines: DataFrame, vocabulary: Words, d: int = 1) -> DataFrame:
+    """``doc_id, line_no, lo, hi, n``: couples counted within each record.
+
+    With a short vocabulary a record's couples are sorted and their runs
+    measured where the record is read; nothing is shuffled.
+    """
+    if d < 0:
+        raise ValueError("the distance must not be negative")
+    keys = ("doc_id", "line_no")
+    listed = short_list(vocabulary)
+    if listed is None:
+        numbered = lines.withColumn("line_no", F.struct(F.monotonically_increasing_id().alias("record"), "line_no"))
+        counted = couples_by_block(numbered, vocabulary, d, keys).groupBy(*keys, "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
+        return counted.select("doc_id", "line_no.line_no", "lo", "hi", "n")
+    found = _couples_of_line(lines, listed, d, keys)
+    plain = F.transform("couples", lambda c: F.struct(c["lo"].alias("lo"), c["hi"].alias("hi")))
+    in_order = found.select(*keys, F.array_sort(plain).alias("c"))
+    size = F.size("c")
+
+    def begins(at: Column) -> Column:
+        return (at == 1) | (F.get("c", at - 1) != F.get("c", at - 2))
+
+    starts = F.filter(F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>")), begins)
+    runs = F.transform(
+        "starts",
+        lambda at, k: F.struct(F.get("c", at - 1).alias("c"), (F.coalesce(F.get("starts", k + 1), size + 1) - at).cast("long").alias("n")),
+    )
+    return (
+        in_order.select(*keys, "c", starts.alias("starts"))
+        .select(*keys, F.explode(runs).alias("run"))
+        .select(*keys, "run.c.lo", "run.c.hi", "run.n")
+    )
+
+
 def pairs_by_line(lines: DataFrame, vocabulary: Words, d: int = 1) -> DataFrame:
     """``doc_id, line_no, w1, w2, n``: pairs counted line by line."""
-    found = couples(lines, vocabulary, d, keys=("doc_id", "line_no"))
-    return pairs(found.groupBy("doc_id", "line_no", "lo", "hi").agg(F.count(F.lit(1)).alias("n")))
+    return pairs(couple_counts_by_line(lines, vocabulary, d))
 
 
 def refold(by_line: DataFrame) -> DataFrame:
-    """``w1, w2, n``: line-by-line pairs summed over all lines."""
-    return by_line.groupBy("w1", "w2").agg(F.sum("n").alias("n"))
+    """``w1, w2, n``: line-by-line couples summed over all lines, then seen from both words."""
+    return pairs(by_line.groupBy("lo", "hi").agg(F.sum("n").alias("n")))
 
 
 def _other_columns(counts: DataFrame) -> list[str]:

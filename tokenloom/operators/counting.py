@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import counted_words, without_patterns, words
-from tokenloom.operators.wordlists import Words, fits_broadcast, stop_list, word_frame
+from tokenloom.operators.wordlists import Words, fits_broadcast, row_bound, stop_list, word_frame
 
 
 def word_count(lines: DataFrame, case_sensitive: bool = True, skip_patterns: Sequence[str] = ()) -> DataFrame:
@@ -28,8 +28,7 @@ def word_count_no_stop(records: DataFrame, stop_words: Words) -> DataFrame:
     found = records.select(F.explode(words(F.col("text"))).alias("word"))
     stop_words = stop_list(stop_words)
     stop = word_frame(stop_words, records, "word")
-    at_most = None if isinstance(stop_words, DataFrame) else len(stop_words)
-    if fits_broadcast(stop, at_most):
+    if fits_broadcast(stop, row_bound(stop_words)):
         return _counted(found.join(F.broadcast(stop), "word", "left_anti"))
     # Too long a list to broadcast: counted words are one row each, so no key is hot.
     return _counted(found).join(stop, "word", "left_anti")

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tokenloom.functions.porter import with_stem
 from tokenloom.functions.scoring import ASSUMED_DOCS, term_score
 from tokenloom.functions.text import words
+from tokenloom.operators.tokens import stem_vocabulary
 from tokenloom.operators.wordlists import Words, drop_words, fits_broadcast, salted_join, stop_list
+from tokenloom.session import settled
 
 
 def doc_freq(records: DataFrame, stop_words: Words) -> DataFrame:
@@ -38,13 +40,18 @@ def term_freq(records: DataFrame, terms: DataFrame, at_most: int | None = None)
     Stop words are not removed here: one whose stem is listed counts.
     ``at_most`` is a bound on the length of ``terms`` if one is known.
     """
-    found = with_stem(records.select("doc_id", F.explode(words(F.col("text"))).alias("tok")))
+    found = records.select("doc_id", F.explode(words(F.col("text"))).alias("tok"))
     tf = F.count(F.lit(1)).alias("tf")
-    if fits_broadcast(terms, at_most):
-        return found.join(F.broadcast(terms), "stem").groupBy("doc_id", "stem", "df").agg(tf)
-    # Counted first, a frequent stem of a long document is one row.
-    counted = found.groupBy("doc_id", "stem").agg(tf)
-    return salted_join(counted, terms, "stem", "inner").select("doc_id", "stem", "df", "tf")
+    # The words of a stem are looked up, so no occurrence is stemmed.
+    stems = stem_vocabulary(records)
+    listed = stems.join(F.broadcast(terms), "stem") if fits_broadcast(terms, at_most) else stems.join(terms, "stem")
+    surface = settled(listed.select("tok", "stem", "df"))
+    if fits_broadcast(surface):
+        return found.join(F.broadcast(surface), "tok").groupBy("doc_id", "stem", "df").agg(tf)
+    # Counted first, a frequent word of a long document is one row.
+    counted = found.groupBy("doc_id", "tok").agg(tf)
+    joined = salted_join(counted, surface, "tok", "inner")
+    return joined.groupBy("doc_id", "stem", "df").agg(F.sum("tf").alias("tf"))
 
 
 def tf_score(

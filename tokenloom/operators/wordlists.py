@@ -7,13 +7,11 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.sources.lists import word_table
+from tokenloom.sources.lists import LITERAL_WORDS, word_table
 
 # A side table is broadcast only up to these sizes.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 << 20
-# A word list is written into the plan only up to this length.
-LITERAL_WORDS = 2_000
 # Copies of a larger side table, so that the rows of one word meet in as many tasks.
 SALTS = 16
 
@@ -76,15 +74,18 @@ def word_frame(words: Words, like: DataFrame, name: str) -> DataFrame:
 
 def drop_words(tokens: DataFrame, words: Words, on: str = "tok", at_most: int | None = None) -> DataFrame:
     """Rows of ``tokens`` whose word is not listed."""
-    kept = join_side(tokens, word_frame(words, tokens, on), on, "left_anti", _bound(words, at_most))
+    kept = join_side(tokens, word_frame(words, tokens, on), on, "left_anti", row_bound(words, at_most))
     return kept.select(*tokens.columns)
 
 
 def keep_words(tokens: DataFrame, words: Words, on: str = "tok", at_most: int | None = None) -> DataFrame:
     """Rows of ``tokens`` whose word is listed."""
-    kept = join_side(tokens, word_frame(words, tokens, on), on, "left_semi", _bound(words, at_most))
+    kept = join_side(tokens, word_frame(words, tokens, on), on, "left_semi", row_bound(words, at_most))
     return kept.select(*tokens.columns)
 
 
-def _bound(words: Words, at_most: int | None) -> int | None:
-    return len(words) if at_most is None and not isinstance(words, DataFrame) else at_most
+def row_bound(words: Words, at_most: int | None = None) -> int | None:
+    """A bound on the rows of ``words`` that also keeps their bytes within bounds, if one is known."""
+    if at_most is not None or isinstance(words, DataFrame):
+        return at_most
+    return len(words) if sum(len(w.encode()) for w in words) <= BROADCAST_BYTES else None

@@ -41,7 +41,7 @@ def pairs_job(
     """Pairs within ``d``; ``fold_by_line`` counts each line on its own first."""
     lines, listed = file_lines(spark, corpus), lists.read_vocabulary(spark, vocabulary)
     if fold_by_line:
-        found = cooc.refold(cooc.pairs_by_line(lines, listed, d))
+        found = cooc.refold(cooc.couple_counts_by_line(lines, listed, d))
     else:
         found = cooc.pairs(cooc.couple_counts(lines, listed, d))
     out.write_lines(out.pair_lines(found), target)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from tokenloom.functions.porter import STEP_2, STEP_3, STEP_4
 from tokenloom.functions.scoring import ASSUMED_DOCS
 from tokenloom.plans.queries import (
-    DISTANCES, LINE_BYTES, LONG_LIST_COUNT, SKIP_PATTERNS, STOP, TOP_TERMS, TOP_WORDS,
+    DISTANCES, LINE_BYTES, LONG_LIST_COUNT, LONG_SKIP_PATTERNS, SKIP_PATTERNS, STOP, TOP_TERMS, TOP_WORDS,
 )
 
 
@@ -81,8 +81,8 @@ def _word_count(line: str, where: str = "true") -> str:
     GROUP BY word"""
 
 
-def _skipped(line: str) -> str:
-    for pattern in SKIP_PATTERNS:
+def _skipped(line: str, patterns: list[str]) -> str:
+    for pattern in patterns:
         line = f"regexp_replace({line}, {_text(pattern)}, '', 'g')"
     return line
 
@@ -174,6 +174,7 @@ _TALK_FREQ = (TURNS, LINES, TOKENS, STOPS, *_stem_ctes("toks"), FREQ)
 _TERMS = (*_FREQ, TERMS)
 _SCORES = (*_TERMS, TF, SCORES)
 _LONG = f"top AS (SELECT word FROM counts WHERE n >= {LONG_LIST_COUNT})"
+_EVERY = "top AS (SELECT DISTINCT tok AS word FROM toks)"
 _TAB = "chr(9)"
 
 _TOKEN_ROWS = "SELECT doc AS doc_id, line_no, pos, tok FROM toks"
@@ -189,7 +190,8 @@ ORACLES: dict[str, str] = {
     "tokens_in_vocab": _with(*_TOP) + _TOKEN_ROWS + " WHERE tok IN (SELECT word FROM top)",
     "word_count": _with(DOCS, LINES) + _word_count("line"),
     "word_count_any_case": _with(DOCS, LINES) + _word_count("lower(line)"),
-    "word_count_skip": _with(DOCS, LINES) + _word_count(_skipped("lower(line)")),
+    "word_count_skip": _with(DOCS, LINES) + _word_count(_skipped("lower(line)", SKIP_PATTERNS)),
+    "word_count_skip_long": _with(DOCS, LINES) + _word_count(_skipped("lower(line)", LONG_SKIP_PATTERNS)),
     "word_count_bounded": _with(DOCS, LINES)
     + _word_count("line", f"strlen(line) + CASE WHEN ended THEN 1 ELSE 0 END < {LINE_BYTES}"),
     "word_count_no_stop": _with(*_COUNTED) + "SELECT word, n FROM counts",
@@ -205,6 +207,8 @@ ORACLES: dict[str, str] = {
     "cooc_pairs_by_line": _with(*_HITS) + _PAIRS_BY_LINE,
     "cooc_pairs_refold": _with(*_HITS)
     + f"SELECT w1, w2, sum(n)::BIGINT AS n FROM ({_PAIRS_BY_LINE}) GROUP BY w1, w2",
+    **{f"cooc_pairs_refold_d{d}": _with(*_HITS) + _pairs(d) for d in DISTANCES},
+    "cooc_pairs_turns_long_list_d2": _with(TURNS, LINES, TOKENS, _EVERY, HITS) + _pairs(2),
     "cooc_pairs_long_list_d2": _with(*_COUNTED, _LONG, HITS) + _pairs(2),
     "cooc_pairs_conversations_d2": _with(*_TALK_TOP, HITS) + _pairs(2),
     **{f"cooc_stripes_rows_d{d}": _with(*_HITS) + _stripe_rows(d) for d in DISTANCES},

@@ -21,6 +21,7 @@ TOP_TERMS = 100
 DISTANCES = (1, 2, 3, 4)
 LINE_BYTES = 200
 SKIP_PATTERNS = ["[0-9]+", "http[a-z:/.]*", "'s"]
+LONG_SKIP_PATTERNS = [f"x{i}y" for i in range(600)] + ["th", "e[rn]"]
 # Words this frequent make a list too long to stand in a plan.
 LONG_LIST_COUNT = 2
 
@@ -122,8 +123,22 @@ def cooc_pairs_by_line(spark, sf_dir):
     return cooc.pairs_by_line(_lines(spark, sf_dir), _vocabulary(_docs(spark, sf_dir)), 2)
 
 
-def cooc_pairs_refold(spark, sf_dir):
-    return cooc.refold(cooc_pairs_by_line(spark, sf_dir))
+def cooc_pairs_refold(d: int) -> Query:
+    def query(spark, sf_dir):
+        return cooc.refold(cooc.couple_counts_by_line(_lines(spark, sf_dir), _vocabulary(_docs(spark, sf_dir)), d))
+
+    return query
+
+
+def cooc_pairs_turns_long_list_d2(spark, sf_dir):
+    """Turns keyed by their conversation alone, with every word of the corpus listed."""
+    turns = table_lines(_turns(spark, sf_dir))
+    vocabulary = tokens(turns).select(F.col("tok").alias("word")).distinct()
+    return cooc.pairs(cooc.couple_counts(turns, vocabulary, 2))
+
+
+def word_count_skip_long(spark, sf_dir):
+    return counting.word_count(_lines(spark, sf_dir), case_sensitive=False, skip_patterns=LONG_SKIP_PATTERNS)
 
 
 def cooc_pairs_long_list_d2(spark, sf_dir):
@@ -208,6 +223,7 @@ QUERIES: dict[str, Query] = {
     "word_count": word_count,
     "word_count_any_case": word_count_any_case,
     "word_count_skip": word_count_skip,
+    "word_count_skip_long": word_count_skip_long,
     "word_count_bounded": word_count_bounded,
     "word_count_no_stop": word_count_no_stop,
     "top50_words": top50_words,
@@ -217,7 +233,9 @@ QUERIES: dict[str, Query] = {
     "cooc_pairs_text_d2": cooc_pairs_text_d2,
     "cooc_pairs_sweep": cooc_pairs_sweep,
     "cooc_pairs_by_line": cooc_pairs_by_line,
-    "cooc_pairs_refold": cooc_pairs_refold,
+    "cooc_pairs_refold": cooc_pairs_refold(2),
+    **{f"cooc_pairs_refold_d{d}": cooc_pairs_refold(d) for d in DISTANCES},
+    "cooc_pairs_turns_long_list_d2": cooc_pairs_turns_long_list_d2,
     "cooc_pairs_long_list_d2": cooc_pairs_long_list_d2,
     "cooc_pairs_conversations_d2": cooc_pairs_conversations_d2,
     **{f"cooc_stripes_rows_d{d}": cooc_stripes_rows(d) for d in DISTANCES},

@@ -20,8 +20,8 @@ were what when where which while who whom why will with would you your yours
 yourself yourselves
 """.split()
 
-# Plans carry the patterns one by one, so a list of any length is no option.
-MAX_SKIP_PATTERNS = 500
+# A list of words stands in a plan up to this length; a longer one is a table of rows.
+LITERAL_WORDS = 2_000
 
 
 def _trimmed(column: str):
@@ -30,7 +30,10 @@ def _trimmed(column: str):
 
 def word_table(spark: SparkSession, words: Iterable[str]) -> DataFrame:
     """A one-column table ``word`` of the given words."""
-    return spark.range(0, 1, 1, 1).select(F.explode(F.lit(sorted(set(words)))).alias("word"))
+    listed = sorted(set(words))
+    if len(listed) > LITERAL_WORDS:
+        return spark.createDataFrame([(w,) for w in listed], "word string")
+    return spark.range(0, 1, 1, 1).select(F.explode(F.lit(listed)).alias("word"))
 
 
 def read_stop_words(spark: SparkSession, path: str) -> DataFrame:
@@ -48,7 +51,7 @@ def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
 def read_term_table(spark: SparkSession, path: str) -> DataFrame:
     """``stem, df`` from tab-separated lines of two fields; other lines are skipped.
 
-    A count that is no integer is an error.  Of several lines for a stem the
+    A count that is no integer, or below 1, is an error.  Of several lines for a stem the
     last one holds.
     """
     fields = F.split(F.regexp_replace("value", r"\t+$", ""), "\t")
@@ -56,6 +59,9 @@ def read_term_table(spark: SparkSession, path: str) -> DataFrame:
     number = F.when(F.col("f")[1].rlike(r"^[+-]?\d+$"), F.col("f")[1].cast("long")).otherwise(
         F.raise_error(F.concat(F.lit("document frequency is not a number: "), F.col("f")[1]))
     )
+    number = F.when(number >= 1, number).otherwise(
+        F.raise_error(F.concat(F.lit("document frequency is below 1: "), F.col("f")[0], F.lit(" "), F.col("f")[1]))
+    )
     return (
         rows.filter(F.size("f") == 2)
         .select(F.col("f")[0].alias("stem"), number.alias("df"), "at")
@@ -68,8 +74,5 @@ def read_skip_patterns(spark: SparkSession, paths: str | list[str]) -> list[str]
     """The regular expressions in ``paths``, one per line, in file order."""
     patterns: dict[str, None] = {}
     for path in [paths] if isinstance(paths, str) else paths:
-        for row in spark.read.text(path).limit(MAX_SKIP_PATTERNS + 1).collect():
-            patterns[row.value] = None
-    if len(patterns) > MAX_SKIP_PATTERNS:
-        raise ValueError(f"more than {MAX_SKIP_PATTERNS} skip patterns")
+        patterns |= dict.fromkeys(row.value for row in spark.read.text(path).toLocalIterator())
     return list(patterns)

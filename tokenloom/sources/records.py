@@ -49,11 +49,16 @@ def table_lines(
     )
 
 
+# A table of at most this many bytes may be dealt out anew.
+SMALL_INPUT = 1 << 30
+
+
 def spread_small_input(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores.
+    """Spread a small table whose scan has fewer splits than the cluster has cores.
 
-    A large table has many splits and is left as it is; only a small file,
-    which would keep one core busy, is dealt out to all of them.
+    Only a table known to be small is dealt out, a single file that would keep
+    one core busy; any other, however few its splits, is left as it is.
     """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if size <= SMALL_INPUT and df.rdd.getNumPartitions() < cores else df
