@@ -11,12 +11,12 @@ trigger in a document are a run of neighbours; the bytes they cover are a
 *phrase*, and a document's parse is its sequence of phrases.
 
 *Dictionary.*  Equal phrases hold equal strings.  A phrase whose trigger occurs
-in one document only is not repeated and drops out.  Of the others the
-dictionary keeps, once per distinct phrase, the first document and the number of
-documents.  A phrase with an earlier document is repeated as a whole.  If all
-documents of a trigger have the same phrase the first of them keeps it as a
-whole.  Only for what is left, and only where the half of it next to the trigger
-is in several documents, are the phrase's own suffixes, cut to ``LENGTH`` bytes,
+in one place only is not repeated and drops out.  Of the others the dictionary
+keeps, once per distinct phrase, the first document and the number of places.  A
+phrase with an earlier document is repeated as a whole.  If a phrase occurs as
+often as its trigger, all places of the trigger have it, and the first document
+keeps it as a whole.  Only for what is left, and only where the half of it next
+to the trigger is in several places, are the phrase's own suffixes, cut to ``LENGTH`` bytes,
 compared with those of other phrases.
 
 Whether strings are equal is all that the removal needs from corpus order, so
@@ -111,7 +111,7 @@ class Block:
         self.known = Keys(self.trigger, self.doc, self.ids)
 
     def phrases(self, docs_of_trigger: np.ndarray) -> None:
-        """Keep the phrases whose trigger is in several documents."""
+        """Keep the phrases whose trigger is in several places."""
         many = docs_of_trigger[self.known.where] > 1
         self.count = docs_of_trigger[self.known.where][many]
         self.doc = self.doc[many]
@@ -149,7 +149,7 @@ class Block:
         self.known = Keys(np.concatenate([np.zeros(0, np.uint64), *keys]), self.side_doc, self.ids)
 
     def suffixes(self, docs: np.ndarray) -> None:
-        """Keys of the strings whose side is in several documents."""
+        """Keys of the strings whose side is in several places."""
         many = docs[self.known.where] > 1
         keys, doc, self.start, k = [], [], [], 0
         for (_, _, _, (*_, prefix)), (lo, hi) in zip(self.parts, self.ranges, strict=True):
@@ -187,19 +187,17 @@ class Block:
 
 
 class Keys:
-    """A block's distinct keys with the first document and the number of documents of each."""
+    """A block's distinct keys with the first document of each and how often it occurs."""
 
     def __init__(self, keys: np.ndarray, doc: np.ndarray, ids: np.ndarray):
         order = np.argsort(keys, kind="stable")
         sorted_keys, sorted_doc = keys[order], doc[order]
         new = np.ones(len(keys), bool)
         new[1:] = sorted_keys[1:] != sorted_keys[:-1]
-        other = new.copy()
-        other[1:] |= sorted_doc[1:] != sorted_doc[:-1]
         at = np.flatnonzero(new)
         self.keys = sorted_keys[at]
         self.first = ids[sorted_doc[at]] if len(at) else np.zeros(0, np.int64)
-        self.docs = np.add.reduceat(other.astype(np.uint32), at, dtype=np.uint32) if len(at) else np.zeros(0, np.uint32)
+        self.times = np.diff(np.append(at, len(keys))).astype(np.uint32)
         self.where = np.empty(len(keys), np.int64)
         self.where[order] = np.cumsum(new) - 1
 
@@ -207,15 +205,15 @@ class Keys:
         edges = np.searchsorted(self.keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)) if len(self.keys) else np.zeros(1, int)
         used = np.flatnonzero(np.diff(edges))
         cut = [slice(edges[b], edges[b + 1]) for b in used]
-        blobs = [[x[c].tobytes() for c in cut] for x in (self.keys, self.first, self.docs)]
+        blobs = [[x[c].tobytes() for c in cut] for x in (self.keys, self.first, self.times)]
         if step in (1, 3):  # only counts are asked for
             blobs[1] = [b""] * len(cut)
         columns = [pa.array(used, pa.int32()), pa.array([blk] * len(cut), pa.int64()), pa.array([step] * len(cut), pa.int32())]
         return pa.Table.from_arrays([*columns, *(pa.array(b, pa.binary()) for b in blobs)], names=["bucket", "blk", "step", "keys", "first", "docs"])
 
     def told(self, replies: pa.Table, step: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """First document and number of documents over all blocks."""
-        first, docs = self.first.copy(), self.docs.astype(np.int64)
+        """First document and number of places over all blocks."""
+        first, docs = self.first.copy(), self.times.astype(np.int64)
         base = np.searchsorted(self.keys >> np.uint64(64 - bits), np.arange(1 << bits, dtype=np.uint64)) if len(self.keys) else None
         for row in replies.to_pylist():
             if row["step"] == step:
@@ -283,14 +281,14 @@ def _pack() -> Callable:
 
         def packed() -> pa.RecordBatch:
             table = pa.Table.from_batches(held)
-            order = pc.sort_indices(table.column("blk"))
+            order = pc.sort_indices(table.column("__pfp_block"))
             table = table.take(order).combine_chunks()
-            blk = table.column("blk").to_numpy()
+            blk = table.column("__pfp_block").to_numpy()
             edges = np.flatnonzero(np.diff(blk, prepend=-1, append=-1))
             rows = []
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
                 sink = pa.BufferOutputStream()
-                part = table.slice(lo, hi - lo).drop_columns(["blk"]).take(pa.array(range(hi - lo)))
+                part = table.slice(lo, hi - lo).drop_columns(["__pfp_block"]).take(pa.array(range(hi - lo)))
                 with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
                     out.write_table(part)
                 rows.append((int(blk[lo]), sink.getvalue().to_pybytes()))
@@ -350,7 +348,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = True
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     bits = max(5, min(17, int(blocks).bit_length()))
-    dealt = docs.withColumn("blk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).mapInArrow(_pack(), "blk long, rows binary")
+    dealt = docs.withColumn("__pfp_block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).mapInArrow(_pack(), "blk long, rows binary")
     asked = dealt.groupBy("blk").applyInArrow(_first_ask(bits, length), REQUEST)
     replies = asked.groupBy("bucket").applyInArrow(_answer, REPLY)
     for step in (2, 3, 4):
