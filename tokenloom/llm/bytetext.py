@@ -120,7 +120,8 @@ def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     count = np.diff(words.bound)
     g = h.copy()
     for j in range(1, width):
-        g[: len(h) - j] = mix(g[: len(h) - j] * _A + h[j:])
+        n = max(len(h) - j, 0)
+        g[:n] = mix(g[:n] * _A + h[j : j + n])
     whole = np.maximum(count - width + 1, 0)
     keep = np.zeros(len(h), bool)
     edge = np.zeros(len(h) + 1, np.int64)

@@ -1,9 +1,9 @@
 """Finding passages of benchmark items in documents.
 
 Words are runs of letters and digits (ASCII lower-cased; bytes above 127 count
-as letters).  An item's seeds are ``SEED``-word n-grams: among every ``SPREAD``
-neighbours the one that the fewest documents hold.  So seeds are rare where they
-can be, yet every stretch of an item has one, however often it was copied.
+as letters).  An item's seeds are its rare ``SEED``-word n-grams, those that at
+most ``RARE`` documents hold, and among every ``SPREAD`` neighbours the rarest.
+So every stretch of an item has a seed, however often it was copied.
 Where a document holds a seed, the words around it are aligned with the item by
 Smith-Waterman (``MATCH``, ``MISMATCH``, ``GAP`` a word).  The score is that of
 the best alignment over that of the item with itself; a document holds the item
@@ -34,6 +34,7 @@ from tokenloom.llm.bytetext import Words, pieces, shingles
 
 SEED = 3
 SPREAD = 4
+RARE = 1_000
 MATCH, MISMATCH, GAP = 2, -2, -2
 LEAST = 0.5
 WORDS = 8
@@ -140,10 +141,10 @@ def _count(block):
 
 
 def seeds(block: Items, docs_of_gram: np.ndarray) -> Items:
-    """The block with seeds only: of every ``SPREAD`` neighbours of an item the rarest."""
+    """The block with seeds only: rare n-grams, and the rarest of every ``SPREAD`` neighbours of an item."""
     order = np.lexsort((block.place[:, 2], block.place[:, 1]))
     item, rarity = block.place[order, 1], docs_of_gram[block.place[order, 0]]
-    keep = np.zeros(len(order), bool)
+    keep = rarity <= RARE
     bounds = np.flatnonzero(np.diff(item, prepend=-1, append=-1))
     for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
         for a in range(lo, max(lo, hi - SPREAD) + 1):

@@ -125,6 +125,8 @@ def fit(labelled: DataFrame) -> Model:
     counted = {r.lang: np.frombuffer(r.counts, np.int64) for r in parts.mapInArrow(_added, "lang string, counts binary").collect()}
     languages = sorted(lang for lang, counts in counted.items() if counts.sum())
     code = codewords(len(languages))
+    if not languages:
+        return Model([], np.zeros((0, 0)), np.zeros((0, FEATURES), np.float32), np.zeros(0))
     shares = np.array([counted[lang] + 0.5 for lang in languages], float).reshape(len(languages), FEATURES)
     shares /= shares.sum(axis=1, keepdims=True)
     weights = np.array([np.log(shares[bit].mean(axis=0) / shares[~bit].mean(axis=0)) for bit in code.T]).reshape(code.shape[1], FEATURES)
