@@ -11,9 +11,10 @@ with fewer words the whole sequence is its one run.  Two documents link if
 3. A class's *prefix* is the first of its n-grams in that order, as many as it
    takes for two linked sets to share one.  Prefixes are joined on the n-gram.
    Pairs pass the length filter, the positional filter (the n-grams after the
-   shared one must suffice) and the suffix filter (the n-grams are dealt to 128
+   shared one must suffice) and the suffix filter (the n-grams are dealt to
    ranges of hash values; the parities that differ bound the difference from
-   below).
+   below): with 128 ranges where pairs are made, with about as many ranges as
+   the set has n-grams on the distinct pairs.
 4. Pairs that pass are verified once each, on the whole sets.
 
 Groups of near copies would make all pairs.  So the first round joins each
@@ -45,10 +46,12 @@ WIDTH = 5
 PERCENT = 80
 SKETCH_BITS = 20
 CHUNK = 1 << 16
+# Ranges of the parities that pairs are made with.
+COARSE = 128
 # Ids of documents to verify are broadcast up to this many (8 bytes each).
 FEW_IDS = 4_000_000
 
-FEATURES = "doc_id long, n int, k1 long, k2 long, prefix array<long>, b0 long, b1 long, weight long"
+FEATURES = "doc_id long, n int, k1 long, k2 long, prefix array<long>, b0 long, b1 long, parities binary, weight long"
 
 
 def text_sets(column: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -104,14 +107,14 @@ def _features(width: int, percent: int, counts, bits: int):
             for i, found in text_sets(batch.column(1), width):
                 n = len(found)
                 if not n:
-                    rows.append((ids[i].as_py(), 0, 0, 0, [], 0, 0, 0))
+                    rows.append((ids[i].as_py(), 0, 0, 0, [], 0, 0, b"", 0))
                     continue
                 often = table[(found >> np.uint64(64 - bits)).astype(np.int64)]
                 length = n - (percent * n + 99) // 100 + 1
                 order = np.lexsort((found, often))[:length]
-                parity = np.bincount((mix(found) >> np.uint64(57)).astype(np.int64), minlength=128) & 1
-                b0, b1 = np.packbits(parity.astype(bool)).view(np.int64)
-                rows.append((ids[i].as_py(), n, *digest(found), signed(found[order]), int(b0), int(b1), int(np.sum(often[order], dtype=np.int64) // length)))
+                fine = parities(found)
+                b0, b1 = np.packbits(folded(fine, COARSE)).view(np.int64)
+                rows.append((ids[i].as_py(), n, *digest(found), signed(found[order]), int(b0), int(b1), np.packbits(fine).tobytes(), int(np.sum(often[order], dtype=np.int64) // length)))
                 if len(rows) >= 2_000:
                     yield _feature_rows(rows)
                     rows = []
@@ -121,12 +124,44 @@ def _features(width: int, percent: int, counts, bits: int):
 
 
 def _feature_rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64()]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
     return pa.RecordBatch.from_arrays(
         [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=[part.split()[0] for part in FEATURES.split(", ")]
     )
 
 
+def parities(found: np.ndarray) -> np.ndarray:
+    """Whether each range of hash values holds an odd number of the n-grams; a range for every one or two of them, ``COARSE`` at least."""
+    bits = max(COARSE.bit_length(), len(found).bit_length()) - 1
+    return np.bincount((mix(found) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits) & 1 > 0
+
+
+def folded(odd: np.ndarray, size: int) -> np.ndarray:
+    """The parities of ``size`` wider ranges."""
+    return np.logical_xor.reduce(odd.reshape(size, -1), axis=1)
+
+
+def _near(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y, n in zip(*(batch.column(c) for c in ("x", "y", "total")), strict=True):
+                x, y = (np.unpackbits(np.frombuffer(v.as_buffer(), np.uint8)) for v in (x, y))
+                size, n = min(len(x), len(y)), n.as_py()
+                apart = int(np.count_nonzero(folded(x, size) != folded(y, size)))
+                keep.append((n - apart) * (100 + percent) >= n * percent * 2)
+            yield batch.select(["a", "b", "w"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def fine_suffix_filter(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """The ``a, b, w`` whose parities leave enough n-grams in common."""
+    x, y = (facts.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("parities").alias(p)) for c, p in (("a", "x"), ("b", "y")))
+    both = pairs.join(x, "a").join(y, "b").select("a", "b", "w", "x", "y", (F.col("n_a") + F.col("n_b")).cast("long").alias("total"))
+    return both.mapInArrow(_near(percent), "a long, b long, w long")
+
+
 def may_link(x: str, y: str, percent: int) -> Column:
     """Length and positional filter for classes ``x`` and ``y`` that share the n-gram at their ``p``."""
     nx, ny, px, py = (F.col(f"{a}.{c}") for c in ("n", "p") for a in (x, y))
@@ -203,17 +238,11 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     classes = (
         features.where("n > 0 AND doc_id IS NOT NULL")
         .groupBy("k1", "k2")
-        .agg(F.min("doc_id").alias("id"), *[F.any_value(c).alias(c) for c in ("n", "prefix", "b0", "b1", "weight")])
+        .agg(F.min("doc_id").alias("id"), *[F.any_value(c).alias(c) for c in ("n", "prefix", "b0", "b1", "parities", "weight")])
     )
     classes = settled(classes)
     entries = classes.select("id", "n", F.posexplode("prefix").alias("p", "gram"))
-    facts = classes.select("id", "n", "b0", "b1", "weight")
-
-    def pass_suffix(pairs: DataFrame) -> DataFrame:
-        return (
-            pairs.join(facts.alias("x"), F.col("a") == F.col("x.id")).join(facts.alias("y"), F.col("b") == F.col("y.id"))
-            .where(suffix_filter("x", "y", percent)).select("a", "b").distinct()
-        )
+    facts = classes.select("id", "n", "b0", "b1", "parities", "weight")
 
     common = entries.select("gram").groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram")
     met = settled(entries.join(common, "gram", "left_semi").join(facts.select("id", "weight"), "id"))
@@ -222,9 +251,9 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
         "x.*", F.col("y.h.id").alias("hub"), F.col("y.h.n").alias("hub_n"), F.col("y.h.p").alias("hub_p"), F.col("y.h.weight").alias("hub_weight")
     )
     star = shared.select(F.struct("id", "n", "p").alias("x"), F.struct(F.col("hub").alias("id"), F.col("hub_n").alias("n"), F.col("hub_p").alias("p")).alias("y"), "hub_weight")
-    star = star.where("x.id <> y.id").where(may_link("x", "y", percent)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), "hub_weight").distinct()
-    near = star.join(facts.alias("x"), F.col("a") == F.col("x.id")).join(facts.alias("y"), F.col("b") == F.col("y.id")).where(suffix_filter("x", "y", percent))
-    best = near.groupBy("a").agg(F.max(F.struct("hub_weight", "b")).alias("h")).select("a", F.col("h.b").alias("b"))
+    star = star.where("x.id <> y.id").where(may_link("x", "y", percent)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("hub_weight").alias("w")).distinct()
+    near = fine_suffix_filter(star, facts, percent)
+    best = near.groupBy("a").agg(F.max(F.struct("w", "b")).alias("h")).select("a", F.col("h.b").alias("b"))
     links = verified(best, rows, width, percent)
     parts = settled(components(links))
 
@@ -235,7 +264,8 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
         left.alias("y"),
         (F.col("x.gram") == F.col("y.gram")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.part") != F.col("y.part"))
         & may_link("x", "y", percent) & suffix_filter("x", "y", percent),
-    ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.lit(0).cast("long").alias("w")).distinct()
+    rest = fine_suffix_filter(rest, facts, percent).select("a", "b")
     links = links.unionByName(verified(rest, rows, width, percent))
     found = components(links)
 
