@@ -48,7 +48,7 @@ SKETCH_BITS = 20
 CHUNK = 1 << 16
 # Ranges of the parities that pairs are made with.
 COARSE = 128
-# Ids of documents to verify are broadcast up to this many (8 bytes each).
+# Ids of documents to verify or to drop are broadcast up to this many (8 bytes each).
 FEW_IDS = 4_000_000
 
 FEATURES = "doc_id long, n int, k1 long, k2 long, prefix array<long>, b0 long, b1 long, parities binary, weight long"
@@ -285,4 +285,5 @@ def one_per_group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -
     """
     groups = similar_groups(docs, width, percent)
     gone = settled(groups.where("doc_id <> component_id").select("doc_id").distinct())
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
+    side = F.broadcast(gone) if gone.count() <= FEW_IDS else gone
+    return docs.join(side, docs["doc_id"].cast("long") == side["doc_id"], "left_anti")
