@@ -13,9 +13,11 @@ import pyarrow as pa
 import pytest
 from compare import connect, duck_rows, spark_rows
 from conftest import SF_DIR
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tokenloom.llm import (
+    bytetext,
     components, context_tree, decontamination, language_id, mixing, multiset_hash, ngram_join, prefix_free, template_extraction, token_rollup, warc_zip,
 )
 from tokenloom.llm.oracles import ORACLES
@@ -110,6 +112,29 @@ def test_ngram_join_edges(odd, none):
     assert ngram_join.one_per_group(odd).count() == 5 and ngram_join.similar_groups(none).count() == 0
 
 
+def test_functions_travel_without_what_the_driver_keeps():
+    bytetext.span_hashes(bytetext.prefix_hash(np.zeros(9, np.uint8)), np.zeros(1, int), np.ones(1, int))
+    assert len(bytetext._powers) == 2
+    for f in (ngram_join._sets(5), prefix_free._ask(4, 5, 50)):
+        assert len(cloudpickle.dumps(f)) < 200_000
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_fine_parities_let_linked_sets_pass(percent):
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 90, 255, 256, 700, 5_000):
+        x = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        for lost in {0, 1, n * (100 - percent) // 100}:
+            y = np.concatenate([x[lost:], rng.integers(0, 1 << 63, min(lost, 1)).astype(np.uint64)])
+            both = len(np.intersect1d(x, y))
+            linked = 100 * both >= percent * (len(x) + len(y) - both)
+            a, b = ngram_join.parities(x), ngram_join.parities(np.unique(y))
+            size = min(len(a), len(b))
+            apart = int((ngram_join.folded(a, size) != ngram_join.folded(b, size)).sum())
+            passed = (len(x) + len(y) - apart) * (100 + percent) >= (len(x) + len(y)) * percent * 2
+            assert passed or not linked
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(90, 80), (80, 90), (7, 7)], "a long, b long")
     found = {r.id: r.component for r in components.components(links).collect()}

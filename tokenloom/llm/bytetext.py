@@ -34,7 +34,16 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _A)
-_powers: dict[int, np.ndarray] = {}
+
+
+class Kept(dict):
+    """What a process keeps for later calls; it goes nowhere with the functions that use it."""
+
+    def __reduce__(self):
+        return dict, ()
+
+
+_powers: dict[int, np.ndarray] = Kept()
 
 
 def powers(base: int, n: int) -> np.ndarray:
