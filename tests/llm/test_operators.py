@@ -293,6 +293,24 @@ def test_extraction(spark):
     assert template_extraction.extract(pages.limit(0)).count() == 0
 
 
+def _texts(spark, rows):
+    found = template_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(found) == len(rows)
+    return {r.page_id: r.text.split("\n") if r.text else [] for r in found}
+
+
+def test_extraction_keeps_what_articles_share(spark):
+    tops = "<body><div>Site</div>"
+    near = [(i, f"http://near/{i}", f"{tops}<article><h1>Shared</h1><p>one<p>edited {i}<p>three</article>") for i in range(6)]
+    inside = "<ul><li>first<li>second</ul><blockquote>said</blockquote><ul><li><a href=/x>see x</a></ul>"
+    lists = [(10 + i, f"http://large/{i}", f"{tops}<{tag}><p>copy {i}{inside}</{tag}>") for i, tag in enumerate(["article"] * 5 + ["main"] * 5)]
+    others = [(30 + i, f"http://large/o{i}", f"{tops}<article><p>other {i}</article>") for i in range(4)]
+    text = _texts(spark, near + lists + others)
+    assert all(text[i] == ["Shared", "one", f"edited {i}", "three"] for i in range(6))
+    assert all(text[10 + i] == [f"copy {i}", "first", "second", "said", "see x"] for i in range(10))
+    assert all(text[30 + i] == [f"other {i}"] for i in range(4))
+
+
 def _removed(rows, length):
     first, out = {}, {}
     for i, text in sorted(rows):
