@@ -311,6 +311,27 @@ def test_extraction_keeps_what_articles_share(spark):
     assert all(text[30 + i] == [f"other {i}"] for i in range(4))
 
 
+@pytest.mark.parametrize(
+    ("page", "kept"),
+    [
+        ("<body class='home has-sidebar'><p>story</p><div class=sidebar>more</div>", ["story"]),
+        ("<div id='page' class='with-sidebar'><p>story</p></div>", ["story"]),
+        ("<div class='content no-sidebar'>story</div><div class='no-js footer'>legal</div>", ["story"]),
+        ("<article class='post discussion'><p>story</p></article>", ["story"]),
+        ("<main class='post-1 search'><p>story</p></main>", ["story"]),
+        ("<article><header class='entry-header'><h1>title</h1></header><p>story</p></article>", ["title", "story"]),
+        ("<header class='entry-header'>site</header><p>story", ["story"]),
+        ("<div class=search><article>story<div class=comments>first!</div></article></div>", ["story"]),
+        ("<div class=related><article>teaser</article></div><article>story</article>", ["story"]),
+        ("<article><div class='post discussion'>story</div><nav>next</nav></article>", ["story"]),
+        ("<div class='page search'><p>story</p></div><nav>menu</nav>", ["story"]),
+        ("<article role=dialog>box</article><p>story", ["story"]),
+    ],
+)
+def test_extraction_by_names(page, kept):
+    assert [b.text for b in template_extraction.slots(template_extraction.parse(page)[0])] == kept
+
+
 def _removed(rows, length):
     first, out = {}, {}
     for i, text in sorted(rows):
