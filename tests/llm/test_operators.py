@@ -332,6 +332,62 @@ def test_extraction_by_names(page, kept):
     assert [b.text for b in template_extraction.slots(template_extraction.parse(page)[0])] == kept
 
 
+def _extracted(rows):
+    """Texts by occurrence vectors that are built page by page."""
+    hosts: dict = {}
+    for k, (_, url, page) in enumerate(rows):
+        host = (re.match(r"[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", url or "") or [0, ""])[1].lower()
+        hosts.setdefault(host, []).append((k, *template_extraction.parse(page or "")))
+    out = []
+    for own in hosts.values():
+        tags, texts, shares = {}, {}, {}
+        for k, blocks, paths in own:
+            for path, n in paths.items():
+                tags.setdefault(path, {})[k] = n
+            if blocks or paths:
+                tags.setdefault("", {})[k] = 1
+            for b in blocks:
+                if not b.main:
+                    vector = texts.setdefault((b.slot, b.text), {})
+                    vector[k] = vector.get(k, 0) + 1
+                    share = shares.setdefault(b.slot, [0, 0])
+                    share[0] += b.words
+                    share[1] += b.linked
+        vectors = [v for v in tags.values() if len(v) >= template_extraction.SUPPORT]
+        template = {t for t, v in texts.items() if v in vectors}
+        menus = {p for p, (words, linked) in shares.items() if len(tags[p]) >= template_extraction.SUPPORT and 100 * linked >= template_extraction.LINKS * words}
+        for k, blocks, _ in own:
+            kept = template_extraction.slots(blocks)
+            left = [b for b in kept if b.main or b.slot not in menus and (b.slot, b.text) not in template]
+            out.append((rows[k][0], "\n".join(b.text for b in left or kept)))
+    return sorted(out)
+
+
+def test_extraction_drops_classes(spark):
+    story = "<div>notice</div><div>story {}</div>"
+    rows = [(i, f"http://plain/{i}", f"<body>{story}<div>legal line</div>".format(i)) for i in range(6)]
+    rows += [(10 + i, f"http://bare/{i}", f"{story}<div>legal line</div>".format(i)) for i in range(6)]
+    rows += [(20 + i, f"http://part/{i}", f"<body>{story}".format(i) + "<div>Tags:</div><ul class=tags><li>t{}</ul>".format(i) * (i < 6)) for i in range(9)]
+    rows += [(40 + i, f"http://few/{i}", f"<body>{story}".format(i)) for i in range(4)]
+    rows += [(60 + i, f"http://some/{i}", "<body><div>only here</div>" * (i % 2) + f"<div>story {i}</div>") for i in range(12)]
+    rows += [(80 + i, f"http://index/{i}", f"<body><div>notice</div><div>story {i}</div>" + "<article>text</article>" * (i > 2)) for i in range(9)]
+    text = _texts(spark, rows)
+    assert all(text[k + i] == [f"story {i}"] for k in (0, 10) for i in range(6))
+    assert all(text[20 + i] == [f"story {i}", *([f"t{i}"] if i < 6 else [])] for i in range(9))
+    assert all(text[40 + i] == ["notice", f"story {i}"] for i in range(4))
+    assert all(text[80 + i] == ([f"story {i}"] if i <= 2 else ["text"]) for i in range(9))
+    assert sorted((i, "\n".join(t)) for i, t in text.items()) == _extracted(rows)
+
+
+@pytest.mark.parametrize("wrap", ["article", "div", "p"])
+def test_extraction_of_the_table(spark, wrap):
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet").select("page_id", "url", F.regexp_replace("html", "(</?)article>", f"$1{wrap}>").alias("html"))
+    rows = [tuple(r) for r in pages.collect()]
+    rows += [(1_000 + i, f"https://h.example/{i}", r[2]) for i, r in enumerate(rows[:20])]
+    found = template_extraction.extract(spark.createDataFrame(rows, pages.schema)).collect()
+    assert sorted((r.page_id, r.text) for r in found) == _extracted(rows) and all(r.text for r in found)
+
+
 def _removed(rows, length):
     first, out = {}, {}
     for i, text in sorted(rows):
