@@ -198,6 +198,16 @@ def test_multiset_hash():
     assert multiset_hash.likeness(whole[:1], whole[1:2])[0] == 1 and multiset_hash.likeness(whole[3:], whole[3:])[0] == 1
 
 
+def test_likeness_of_one_run_many_times(spark):
+    a, b = "word " * 40_000, "word " * 30_000
+    whole = multiset_hash.fingerprints(pa.array([a, b, f"{a}\n{b}"]))
+    expected = 1 - 10_000**2 / (39_998**2 + 29_998**2)
+    assert multiset_hash.likeness(whole[:1], whole[1:2])[0] == pytest.approx(expected)
+    assert (multiset_hash.delete(whole[2], [b]) == whole[0]).all() and (multiset_hash.insert(whole[0], [b]) == whole[2]).all()
+    found = {r.doc_id: r for r in multiset_hash.edit_report(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")).collect()}
+    assert all(r.near_next == pytest.approx(expected) and r.near_edited > 0.9 for r in found.values())
+
+
 @pytest.mark.parametrize("range_rows", [7, 1_000])
 def test_edited_texts(docs, range_rows):
     rows = sorted((r.doc_id, r.text) for r in docs.collect())

@@ -1,7 +1,8 @@
 """Homomorphic multiset hash of a text's paragraphs.
 
 A paragraph is a line that is not empty.  Each is hashed to a wide vector and a
-text's fingerprint is the sum of them, lane by lane modulo ``2**16``.  Sums do
+text's fingerprint is the sum of them, lane by lane, modulo ``2**16`` in the lanes
+for equality and ``2**32`` in those for likeness, which no text overflows.  Sums do
 not depend on order, so texts with the same multiset of paragraphs are equal,
 and a paragraph is inserted or deleted by adding or subtracting its vector.
 
@@ -47,7 +48,7 @@ SCHEMA = (
 
 def fingerprints(column: pa.Array) -> np.ndarray:
     """One row of ``EQUAL + LIKE`` lanes per text."""
-    out = np.zeros((len(column), EQUAL + LIKE), np.uint16)
+    out = np.zeros((len(column), EQUAL + LIKE), np.uint32)
     for first, end, data, off in pieces(column):
         start, stop = runs(data != 10, off)
         if not len(start):
@@ -64,32 +65,39 @@ def fingerprints(column: pa.Array) -> np.ndarray:
         lane = (found % np.uint64(LIKE)).astype(np.int64)
         sign = 1.0 - 2.0 * ((found >> np.uint64(40)) & np.uint64(1)).astype(np.float64)
         sums = np.bincount(of * LIKE + lane, weights=sign, minlength=(end - first) * LIKE)
-        out[first:end, EQUAL:] = sums.astype(np.int64).astype(np.uint16).reshape(-1, LIKE)
+        out[first:end, EQUAL:] = sums.astype(np.int64).astype(np.uint32).reshape(-1, LIKE)
     return out
 
 
+def _wrapped(lanes: np.ndarray) -> np.ndarray:
+    """Sums or differences of fingerprints as a fingerprint."""
+    lanes = lanes.astype(np.uint32)
+    lanes[..., :EQUAL] &= 0xFFFF
+    return lanes
+
+
 def insert(fingerprint: np.ndarray, paragraphs: Iterable[str]) -> np.ndarray:
     """The fingerprint after inserting paragraphs."""
     added = fingerprints(pa.array(list(paragraphs), pa.string()))
-    return (fingerprint + added.sum(axis=0, dtype=np.uint16)).astype(np.uint16)
+    return _wrapped(fingerprint + added.sum(axis=0, dtype=np.uint32))
 
 
 def delete(fingerprint: np.ndarray, paragraphs: Iterable[str]) -> np.ndarray:
     """The fingerprint after deleting paragraphs that it holds."""
     gone = fingerprints(pa.array(list(paragraphs), pa.string()))
-    return (fingerprint - gone.sum(axis=0, dtype=np.uint16)).astype(np.uint16)
+    return _wrapped(fingerprint - gone.sum(axis=0, dtype=np.uint32))
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Likeness of fingerprints, row by row."""
-    x, y = (v[:, EQUAL:].view(np.int16).astype(np.float64) for v in map(np.ascontiguousarray, (a, b)))
+    x, y = (v[:, EQUAL:].view(np.int32).astype(np.float64) for v in map(np.ascontiguousarray, (a, b)))
     apart, norm = ((x - y) ** 2).sum(axis=1), (x**2).sum(axis=1) + (y**2).sum(axis=1)
     like = np.clip(1.0 - apart / np.where(norm > 0, norm, 1.0), 0.0, 1.0)
     return np.where(norm > 0, like, (a == b).all(axis=1).astype(np.float64))
 
 
 def spelled(fingerprint: np.ndarray) -> str:
-    return base64.b64encode(fingerprint.astype("<u2").tobytes()).decode()
+    return base64.b64encode(fingerprint[:EQUAL].astype("<u2").tobytes() + fingerprint[EQUAL:].astype("<u4").tobytes()).decode()
 
 
 def _edited(text: str, after: str) -> str:
