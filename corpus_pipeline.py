@@ -29,8 +29,8 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: five words, 80 %."""
-    return ngram_join.one_per_group(docs)
+    """One row of each group of similar documents: five words, 80 %; repeated rows are a group."""
+    return ngram_join.one_per_group(docs, repeated=False)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

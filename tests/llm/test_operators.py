@@ -112,6 +112,24 @@ def test_ngram_join_edges(odd, none):
     assert ngram_join.one_per_group(odd).count() == 5 and ngram_join.similar_groups(none).count() == 0
 
 
+def test_one_row_per_group(spark, none):
+    import corpus_pipeline
+
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    near = a.replace("a29", "end")
+    rows = [(1, a, "x"), (1, a, "y"), (2, near, "x"), (2, b, "x"), (None, a, "x"), (None, c, "x"), (None, c, "x"), (None, c, "a"), (3, "", "x"), (3, "", "x"), (4, "", "x"), (6, b, "x"), (5, b, "x")]
+    given = spark.createDataFrame([(i, t, None, s, None) for i, t, s in rows], DOCS)
+
+    def left(found):
+        return sorted((r.doc_id or 0, r.text, r.source) for r in found.collect())
+
+    assert left(corpus_pipeline.distinct(spark, given, SF_DIR)) == [(0, c, "a"), (1, a, "x"), (2, b, "x"), (3, "", "x"), (4, "", "x")]
+    assert left(ngram_join.one_per_group(given)) == [(0, c, "a"), (0, c, "x"), (0, c, "x"), (1, a, "x"), (1, a, "y"), (2, b, "x"), (3, "", "x"), (3, "", "x"), (4, "", "x")]
+    assert corpus_pipeline.distinct(spark, none, SF_DIR).count() == 0
+    clash = given.withColumn("row", F.lit(1)).withColumn("part", F.lit(2)).withColumn("id", F.lit(3))
+    assert ngram_join.one_per_group(clash, repeated=False).columns == clash.columns and ngram_join.one_per_group(clash, repeated=False).count() == 5
+
+
 def test_functions_travel_without_what_the_driver_keeps():
     bytetext.span_hashes(bytetext.prefix_hash(np.zeros(9, np.uint8)), np.zeros(1, int), np.ones(1, int))
     assert len(bytetext._powers) == 2

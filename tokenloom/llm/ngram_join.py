@@ -278,12 +278,32 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     )
 
 
-def one_per_group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one row of each group: the one whose id names it.
+def one_per_group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, repeated: bool = True) -> DataFrame:
+    """``docs`` with one row of each group: the one of smallest id, a null id being last.
 
-    Rows without id all stay; so do rows that share an id, which are one node.
+    A row is what its id and text say, kept apart by a 64-bit hash of both: two
+    texts under one id are two rows, and rows without id are in groups too.
+    Rows of equal id and text stay or go together; without ``repeated`` one of
+    them stays, the smallest in its other columns.
     """
-    groups = similar_groups(docs, width, percent)
-    gone = settled(groups.where("doc_id <> component_id").select("doc_id").distinct())
-    side = F.broadcast(gone) if gone.count() <= FEW_IDS else gone
-    return docs.join(side, docs["doc_id"].cast("long") == side["doc_id"], "left_anti")
+    row = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
+    groups = similar_groups(docs.select(row.alias("doc_id"), "text"), width, percent)
+    ids = settled(docs.groupBy(row.alias("row"), F.col("doc_id").cast("long").alias("id")).agg(F.count(F.lit(1)).alias("times")))
+    moved = settled(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("row"), F.col("component_id").alias("part")).distinct())
+    members = settled(moved.unionByName(moved.select(F.col("part").alias("row"), "part").distinct()).join(ids, "row").select("row", "part", "id"))
+    first = members.groupBy("part").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first")).select(F.col("first.row").alias("row"))
+    kept = _joined(docs, row, members.select("row").join(first, "row", "left_anti"), "left_anti")
+    if repeated:
+        return kept
+    again = ids.where("times > 1").select("row")
+    if again.isEmpty():
+        return kept
+    one = _joined(kept, row, again, "left_semi").groupBy(row.alias("row")).agg(F.min(F.struct(*docs.columns)).alias("one")).select("one.*")
+    return _joined(kept, row, again, "left_anti").unionByName(one)
+
+
+def _joined(docs: DataFrame, row: Column, rows: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined ``how`` with the hashes ``rows``."""
+    rows = settled(rows)
+    side = F.broadcast(rows) if rows.count() <= FEW_IDS else rows
+    return docs.join(side, row == side["row"], how)
