@@ -60,7 +60,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mix", mixed),
 ]
 
-# Stages 1 to 4 have no SQL; tests hold them against brute force.
+# Stages 1 to 4 have no SQL; tests hold "similar" and, as to which ids stay,
+# "repeats" against brute force, not "language" and "benchmark".
 ORACLE_SQL = None
 
 
