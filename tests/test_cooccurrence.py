@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter
 
 import model
@@ -8,9 +9,11 @@ import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
+from tokenloom import session
 from tokenloom.operators import cooccurrence as cooc
 from tokenloom.operators import wordlists
 from tokenloom.operators.counting import top_words
+from tokenloom.operators.indexing import term_freq
 from tokenloom.plans.queries import QUERIES
 from tokenloom.sources.lists import word_table
 
@@ -79,8 +82,8 @@ def test_blocks_lose_and_double_nothing(spark, lines, d, block):
     found = random_lines(d + block)
     df = lines({"x": found})
     for vocabulary in (VOCABULARY, word_table(spark, VOCABULARY)):
-        by_block = cooc.couples_by_block(df, vocabulary, d, block=block).groupBy("lo", "hi").count()
-        ours = as_counter(cooc.stripe_rows(by_block.withColumnRenamed("count", "n")), "word", "neighbour")
+        by_block = cooc.couples_by_block(df, vocabulary, d, block=block).groupBy("lo", "hi").agg(F.sum("n").alias("n"))
+        ours = as_counter(cooc.stripe_rows(by_block), "word", "neighbour")
         assert ours == model.stripes(found, set(VOCABULARY), d)
 
 
@@ -127,6 +130,65 @@ def test_records_that_share_an_id_stay_apart(spark, unused):
     assert by_line.count() == 3 and by_line.columns == ["doc_id", "line_no", "lo", "hi", "n"]
 
 
+def test_a_line_is_tokenised_once(lines):
+    df = lines({"x": ["a b a"]})
+    for made in (cooc.couples(df, VOCABULARY, 2), cooc.couple_counts_by_line(df, VOCABULARY, 2), cooc.couple_counts_both_ways(df, VOCABULARY, 2)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract_all") == 1
+
+
+def test_time_grows_with_the_length_of_a_line(lines):
+    def seconds(k):
+        df = lines({"x": [" ".join(VOCABULARY[i % 4] for i in range(k))]})
+        best = []
+        for _ in range(3):
+            start = time.perf_counter()
+            assert cooc.couple_counts(df, VOCABULARY, 4).agg(F.sum("n")).first()[0] == 4 * k - 10
+            best.append(time.perf_counter() - start)
+        return min(best)
+
+    seconds(500)
+    # 32 times the words: quadratic work would take some hundred times as long.
+    assert seconds(16_000) < 12 * seconds(500) + 2
+
+
+def test_equal_records_fold_whatever_their_order(spark):
+    rows = [("k", 0, "a hot b")] * 3_000 + [("k", 0, "a b"), ("j", 1, "a hot b"), (None, None, "b a"), ("k", 0, None)]
+    frame = spark.createDataFrame(rows, "doc_id string, line_no long, text string")
+    listed = VOCABULARY + [f"unused{i}" for i in range(2_000)]
+    expected = as_counter(cooc.couple_counts(frame, VOCABULARY, 2), "lo", "hi")
+    by_line = Counter((r.doc_id, r.line_no, r.lo, r.hi, r.n) for r in cooc.couple_counts_by_line(frame, VOCABULARY, 2).collect())
+    assert by_line["k", 0, "a", "hot", 1] == 3_000
+    for given in (frame, frame.orderBy(F.rand(1)), frame.repartition(7, F.rand(2))):
+        assert as_counter(cooc.couple_counts(given, listed, 2), "lo", "hi") == expected
+        long = cooc.couple_counts_by_line(given, listed, 2)
+        assert Counter((r.doc_id, r.line_no, r.lo, r.hi, r.n) for r in long.collect()) == by_line
+        plan = long._jdf.queryExecution().optimizedPlan().toString()
+        assert "monotonically_increasing_id" not in plan and "collect_set" in plan
+
+
+@pytest.mark.parametrize("unused", [0, 2_001])
+def test_both_ways_give_the_same_matrices(lines, unused):
+    found = random_lines(8) * 2
+    listed = VOCABULARY + [f"unused{i}" for i in range(unused)]
+    both = cooc.couple_counts_both_ways(lines({"x": found[:70], "y": found[70:]}), listed, 3)
+    pairs = as_counter(cooc.pairs(both), "folded", "d", "w1", "w2")
+    for d in (1, 2, 3):
+        for folded in (False, True):
+            assert {k[2:]: n for k, n in pairs.items() if k[:2] == (folded, d)} == model.pairs(found, set(VOCABULARY), d)
+
+
+def test_long_lists_need_no_checkpoint_folder(spark, lines, monkeypatch):
+    monkeypatch.setattr(session, "names_shared_folder", lambda spark: False)
+    monkeypatch.setattr(session, "shared_folder", lambda spark: pytest.fail("a folder was asked for"))
+    found = random_lines(9)
+    listed = word_table(spark, VOCABULARY + [f"unused{i}" for i in range(2_000)])
+    df = lines({"x": found})
+    assert as_counter(cooc.pairs(cooc.couple_counts(df, listed, 2)), "w1", "w2") == model.pairs(found, set(VOCABULARY), 2)
+    terms = spark.createDataFrame([("hot", 1)], "stem string, df long")
+    assert term_freq(df, terms, at_most=1).first().tf == sum(model.words(line).count("hot") for line in found)
+
+
 def test_fold_by_line_needs_no_shuffle(lines):
     plan = cooc.pairs_by_line(lines({"x": ["a b a", "b a"]}), VOCABULARY, 2)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan

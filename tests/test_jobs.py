@@ -46,11 +46,14 @@ def test_everything(spark, corpus, tmp_path):
     vocabulary = {w for w, _ in top}
     for d in (1, 2, 3, 4):
         pairs = model.pairs(all_lines(), vocabulary, d)
-        assert read(f"{target}/pairs_d{d}") == [f"{k}\t{n}" for k, n in sorted((f"{a},{b}", n) for (a, b), n in pairs.items())]
+        for layout in ("pairs", "folded_pairs"):
+            assert read(f"{target}/matrices/layout={layout}/d={d}") == [
+                f"{k}\t{n}" for k, n in sorted((f"{a},{b}", n) for (a, b), n in pairs.items())
+            ]
         stripes: dict[str, dict[str, int]] = {}
         for (a, b), n in model.stripes(all_lines(), vocabulary, d).items():
             stripes.setdefault(a, {})[b] = n
-        assert read(f"{target}/stripes_d{d}") == [
+        assert read(f"{target}/matrices/layout=stripes/d={d}") == [
             f"{w}\t{{" + ", ".join(f"{k}:{n}" for k, n in sorted(stripes[w].items())) + "}" for w in sorted(stripes)
         ]
     frequencies = read(f"{target}/doc_freq")
@@ -95,7 +98,12 @@ def test_single_jobs_and_command_line(spark, corpus, tmp_path, write_file):
     expected = [w for line in short for w in model.counted_words(line.lower().replace("s", ""))]
     assert counted == {w: str(expected.count(w)) for w in expected}
     main(["all", source, at("all"), stop, "--distances", "1", "3"])
-    assert os.path.isdir(at("all/stripes_d3")) and not os.path.isdir(at("all/stripes_d2"))
+    assert sorted(os.listdir(at("all/matrices"))) == ["._SUCCESS.crc", "_SUCCESS", "layout=folded_pairs", "layout=pairs", "layout=stripes"]
+    assert sorted(os.listdir(at("all/matrices/layout=stripes"))) == ["d=1", "d=3"]
+    main(["matrices", source, at("matrices"), at("top"), "--distances", "2"])
+    assert read(at("matrices/layout=pairs/d=2")) == read(at("pairs"))
+    main(["score", source, at("unsorted"), at("terms"), "--n-docs", "3", "--unsorted"])
+    assert sorted(read(at("unsorted"))) == read(at("scores")) != []
 
 
 def test_pair_lines_sort_by_the_joined_text(spark):

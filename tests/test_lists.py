@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from tokenloom.operators import wordlists
 from tokenloom.operators.counting import word_count_no_stop
 from tokenloom.operators.tokens import tokens
-from tokenloom.operators.wordlists import drop_words, fits_broadcast, join_side, keep_words, short_list
+from tokenloom.operators.wordlists import drop_words, fits_broadcast, hot_keys, is_small_list, join_side, keep_words, salted_join, short_list
 from tokenloom.sources import lists
 
 
@@ -74,11 +75,14 @@ def test_size_check(spark, monkeypatch):
     side = lists.word_table(spark, ["a", "bb", "ccc"])
     assert fits_broadcast(side)
     monkeypatch.setattr(wordlists, "BROADCAST_ROWS", 2)
-    assert not fits_broadcast(side)
-    assert not fits_broadcast(side, at_most=3)
+    assert not fits_broadcast(side) and not is_small_list(["a", "bb", "ccc"])
     monkeypatch.setattr(wordlists, "BROADCAST_ROWS", 10)
     monkeypatch.setattr(wordlists, "BROADCAST_BYTES", 5)
-    assert not fits_broadcast(side)
+    assert not fits_broadcast(side) and not is_small_list(["a", "bb", "ccc"])
+    assert is_small_list(["a"]) and not is_small_list(side)
+    # A bound on the rows says nothing about their bytes.
+    kept = keep_words(side.withColumnRenamed("word", "tok"), side, at_most=3)
+    assert "__salt" in kept._jdf.queryExecution().analyzed().toString() and kept.count() == 3
     assert fits_broadcast(spark.createDataFrame([], "word string"))
 
 
@@ -113,3 +117,42 @@ def test_short_list(spark, monkeypatch):
     monkeypatch.setattr(wordlists, "LITERAL_WORDS", 2)
     assert short_list(lists.word_table(spark, "abc")) is None
     assert short_list(["a", "b", "c"]) is None
+
+
+def test_hot_words_split_by_their_share(spark):
+    # One word in twenty rows, the others all different.
+    rows = spark.range(0, 40_000, 1, 8).selectExpr("id AS pos", "if(id % 20 = 0, 'hot', concat('w', id)) AS tok")
+    side = rows.select("tok").distinct()
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert [tuple(r) for r in hot_keys(rows, "tok", 200).collect()] == [("hot", 10)]
+        for how in ("left_semi", "inner"):
+            joined = salted_join(rows, side, "tok", how)
+            tasks = joined.where("tok = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+            # Ten copies, of which two may be dealt to one task.
+            assert len(tasks) >= 9 and max(r["count"] for r in tasks) <= 2 * 2_000 / 9
+            assert joined.count() == 40_000 and joined.distinct().count() == 40_000
+        assert salted_join(rows, side.where("tok <> 'hot'"), "tok", "left_anti").count() == 2_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_hot_keys_of_nothing(spark):
+    empty = spark.createDataFrame([], "tok string")
+    assert hot_keys(empty, "tok", 8).count() == 0
+    nulls = spark.createDataFrame([(None,)] * 5 + [("a",)], "tok string")
+    assert [r.tok for r in salted_join(nulls, spark.createDataFrame([("a",)], "tok string"), "tok", "left_anti").collect()] == [None] * 5
+
+
+def test_lists_parse_from_lines(spark):
+    def lines(*rows):
+        return spark.createDataFrame([(r,) for r in rows], "value string")
+
+    assert column(lists.parse_stop_words(lines("The\r", "", " a ", None, "the"))) == ["a", "the"]
+    assert column(lists.parse_vocabulary(lines("The 5", "\tx", "word\t1", None))) == ["The", "word"]
+    assert [tuple(r) for r in lists.parse_term_table(lines("x\t2", "x", "x\t1\t2", None, "")).collect()] == [("x", 2)]
+    assert lists.parse_skip_patterns(lines("b+", "a", "b+")) == ["b+", "a"]

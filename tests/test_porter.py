@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 
+import porter_by_letter as letters
 import pytest
 from conftest import SF_DIR
 from porter_by_letter import stem as by_letter
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.porter import STEP_2, STEP_3, STEP_4, with_stem
 from tokenloom.functions.text import words
+from tokenloom.plans import oracles
 
 # Examples printed in the paper (whole-algorithm results) and well-known stems.
 CASES = {
@@ -37,6 +39,20 @@ CASES = {
     "is": "is", "as": "as", "a": "a", "yes": "ye", "say": "sai", "by": "by", "it's": "it'",
     "": "",
 }
+# The paper's example for each rule of steps 2 to 4, as the word each step is given.
+SUFFIX_CASES = {
+    "relational": "relat", "conditional": "condit", "valenci": "valenc", "hesitanci": "hesit", "digitizer": "digit",
+    "conformabli": "conform", "radicalli": "radic", "differentli": "differ", "vileli": "vile", "analogousli": "analog",
+    "vietnamization": "vietnam", "predication": "predic", "operator": "oper", "feudalism": "feudal",
+    "decisiveness": "decis", "hopefulness": "hope", "callousness": "callous", "formaliti": "formal",
+    "sensitiviti": "sensit", "sensibiliti": "sensibl", "apologi": "apolog",
+    "triplicate": "triplic", "formative": "form", "formalize": "formal", "electriciti": "electr", "electrical": "electr",
+    "hopeful": "hope", "goodness": "good",
+    "revival": "reviv", "allowance": "allow", "inference": "infer", "airliner": "airlin", "gyroscopic": "gyroscop",
+    "adjustable": "adjust", "defensible": "defens", "irritant": "irrit", "replacement": "replac", "adjustment": "adjust",
+    "dependent": "depend", "adoption": "adopt", "homologou": "homolog", "communism": "commun", "activate": "activ",
+    "angulariti": "angular", "homologous": "homolog", "effective": "effect", "bowdlerize": "bowdler",
+}
 # Runs of y, where a letter is a vowel or a consonant by what stands before it.
 Y_WORDS = ["yyy", "yyyy", "tyyed", "tyyyed", "ayyed", "ayyyed", "ayyyyed", "yyed", "yyyed", "syzygying", "eyeyed", "yying"]
 
@@ -51,6 +67,21 @@ def test_published_cases(spark):
     assert {w: by_letter(w) for w in CASES} == CASES
 
 
+def test_every_suffix_has_a_published_word(spark):
+    for table in (STEP_2, STEP_3, STEP_4):
+        longest = sorted(table, key=len, reverse=True)
+        shown = {next((s for s in longest if w.endswith(s)), None) for w in SUFFIX_CASES}
+        assert set(table) <= shown
+    assert stems(spark, SUFFIX_CASES) == SUFFIX_CASES
+    assert {w: by_letter(w) for w in SUFFIX_CASES} == SUFFIX_CASES
+
+
+def test_the_three_tables_agree():
+    for ours, other, sql in zip((STEP_2, STEP_3, STEP_4), (letters.STEP_2, letters.STEP_3, letters.STEP_4),
+                                (oracles.SQL_STEP_2, oracles.SQL_STEP_3, oracles.SQL_STEP_4), strict=True):
+        assert ours == other == oracles._suffixes(sql)
+
+
 def test_made_up_words_match_the_letter_form(spark):
     rng = random.Random(7)
     endings = [*STEP_2, *STEP_3, *STEP_4, "ed", "ing", "eed", "s", "sses", "ies", "y", "e", "ll", "ation", "ly", "lying"]

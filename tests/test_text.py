@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tokenloom.functions.scoring import four_decimals, term_score
-from tokenloom.functions.text import counted_words, words
+from tokenloom.functions.text import NESTED_PATTERNS, counted_words, strip_patterns, words
 from tokenloom.operators.counting import word_count, word_count_no_stop
 from tokenloom.operators.tokens import tokens
 from tokenloom.sources.records import file_lines, table_lines
@@ -59,13 +59,52 @@ def test_file_lines_match_table_lines(spark, write_file):
     assert len({r.line_no for r in ours}) == 5
 
 
-def test_line_bound(spark, write_file):
-    text = "1234\n12345\n123456\n12é\n1234"
-    df = spark.createDataFrame([(1, text)], "doc_id int, text string")
-    # With its terminator a line of five bytes takes six; the last has none.
-    assert [r.text for r in table_lines(df, max_line_bytes=6).orderBy("line_no").collect()] == ["1234", "12é", "1234"]
-    path = write_file("docs/a.txt", text)
-    assert sorted(r.text for r in file_lines(spark, path, 6).collect()) == ["1234", "1234", "12é"]
+LINE_ENDS = [
+    "1234\n12345\n123456\n12é\n1234", "1234\r\n123\r\n12345", "12345", "12345\n", "123456", "1234\r", "1234\r\n", "1234\n\r",
+    "12345\r123\n1234\r12345", "", "\n", "\n\n12345", "12345\r\n12345", "1\n\n12é4\n\n12345\n12é4", "a\n" * 5 + "12345",
+]
+
+
+@pytest.mark.parametrize("limit", [4, 5, 6, 7, 8])
+def test_line_bound(spark, write_file, tmp_path, limit):
+    for i, text in enumerate(LINE_ENDS):
+        write_file(f"docs/{i}", text)
+    df = spark.createDataFrame([(str(i), text) for i, text in enumerate(LINE_ENDS)], "doc_id string, text string")
+    ours = file_lines(spark, str(tmp_path / "docs"), limit)
+    assert ours.dtypes == file_lines(spark, str(tmp_path / "docs")).dtypes
+    rows = ours.collect()
+    assert sorted((r.doc_id, r.text) for r in rows) == sorted((r.doc_id, r.text) for r in table_lines(df, max_line_bytes=limit).collect())
+    assert len({r.line_no for r in rows}) == len(rows)
+
+
+def test_line_bound_of_split_files_and_marked_ones(spark, write_file):
+    text = "".join(f"{'x' * (i % 9)}\n" for i in range(3_000))
+    at = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(at)
+    spark.conf.set(at, "1000")
+    try:
+        for end, extra in (("12345678", 1), ("12345678\n", 0), ("123456789", 0)):
+            for mark in ("", "\ufeff"):
+                path = write_file("docs/a.txt", mark + text + end)
+                found = [r.text for r in file_lines(spark, path, 9).collect()]
+                assert len(found) == sum(i % 9 < 8 for i in range(3_000)) + extra
+                assert found.count("12345678") == extra
+    finally:
+        spark.conf.set(at, before)
+
+
+def test_many_patterns_go_in_stages_and_in_order(spark, lines):
+    # Every pattern makes the match of the next one; out of order some would stay.
+    marks = [chr(0x4E00 + i) for i in range(130)]
+    text = "".join(marks) + "z " + "".join(reversed(marks))
+    patterns = [f"{m}(?=z)" for m in reversed(marks)]
+    df = lines({"x": [text, ""]})
+    stripped = strip_patterns(df.select("text"), patterns)
+    assert [r.text for r in stripped.collect()] == ["z " + "".join(reversed(marks)), ""]
+    assert [r.text for r in strip_patterns(df.select("text"), patterns[1:]).collect()] == [text, ""]
+    # No stage is nested in another.
+    plan = stripped._jdf.queryExecution().optimizedPlan().toString()
+    assert max(line.count("regexp_replace(") for line in plan.splitlines()) <= NESTED_PATTERNS
 
 
 def test_positions_count_every_word(lines):

@@ -31,10 +31,14 @@ def _parser() -> argparse.ArgumentParser:
     job("stripes", "corpus", "target", "vocabulary").add_argument("-d", type=int, default=1)
     job("doc-freq", "corpus", "target", "stop_words")
     job("top-terms", "frequencies", "target").add_argument("-k", type=int, default=100)
-    job("score", "corpus", "target", "terms").add_argument("--n-docs", type=int, default=ASSUMED_DOCS)
+    score = job("score", "corpus", "target", "terms")
+    matrices = job("matrices", "corpus", "target", "vocabulary")
     everything = job("all", "corpus", "target", "stop_words")
-    everything.add_argument("--distances", type=int, nargs="+", default=[1, 2, 3, 4])
-    everything.add_argument("--n-docs", type=int, default=ASSUMED_DOCS)
+    for sub in (matrices, everything):
+        sub.add_argument("--distances", type=int, nargs="+", default=[1, 2, 3, 4])
+    for sub in (score, everything):
+        sub.add_argument("--n-docs", type=int, default=ASSUMED_DOCS)
+        sub.add_argument("--unsorted", dest="ordered", action="store_false")
     return parser
 
 
@@ -46,6 +50,7 @@ JOBS = {
     "doc-freq": jobs.doc_freq_job,
     "top-terms": jobs.top_terms_job,
     "score": jobs.score_job,
+    "matrices": jobs.matrices_job,
     "all": jobs.run_all,
 }
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: what a word is.  ASCII letters, digits, `_` and `'`; accented
@@ -48,12 +48,23 @@ def without_terminator(raw_line: Column) -> Column:
     return F.rtrim(raw_line, F.lit("\r\n"))
 
 
-# As many replacements are nested in one expression; a longer list is folded over an array.
+# As many replacements are nested in one expression; see `strip_patterns`.
 NESTED_PATTERNS = 40
 
 
 def without_patterns(text: Column, patterns: Sequence[str]) -> Column:
-    """``text`` with every match of every pattern removed, pattern by pattern, however many there are."""
-    if len(patterns) > NESTED_PATTERNS:
-        return F.aggregate(F.lit(list(patterns)), text, lambda t, p: F.regexp_replace(t, p, F.lit("")))
+    """``text`` with every match of every pattern removed, pattern by pattern."""
     return reduce(lambda t, p: F.regexp_replace(t, F.lit(p), F.lit("")), patterns, text)
+
+
+def strip_patterns(text: DataFrame, patterns: Sequence[str]) -> DataFrame:
+    """The one-column frame ``text`` with every match of every pattern removed, in their order.
+
+    A long list goes in stages of :data:`NESTED_PATTERNS`.  Every pattern is a
+    constant of its own, compiled once a task.  A generator between the stages
+    keeps Catalyst from nesting them all in one expression again.
+    """
+    for at in range(0, len(patterns), NESTED_PATTERNS):
+        stage = without_patterns(F.col("text"), patterns[at : at + NESTED_PATTERNS])
+        text = text.select(stage.alias("text") if at == 0 else F.explode(F.array(stage)).alias("text"))
+    return text

@@ -20,10 +20,12 @@ from pyspark.sql import functions as F
 from tokenloom.functions.text import words
 from tokenloom.operators.tokens import tokens
 from tokenloom.operators.wordlists import Words, keep_words, short_list
-from tokenloom.session import settled
+from tokenloom.session import settled_if_possible
 
 # Positions per block on the long-list path; a block also sees the `d` after it.
 BLOCK = 4_096
+# Rows one array makes when equal records are told apart again.
+RUN = 4_096
 
 
 def _couples(hits: Column, d: int, is_anchor: Callable[[Column], Column] | None = None) -> Column:
@@ -49,29 +51,35 @@ def _couples(hits: Column, d: int, is_anchor: Callable[[Column], Column] | None
 
 
 def couples(lines: DataFrame, vocabulary: Words, d: int, keys: tuple[str, ...] = ()) -> DataFrame:
-    """``*keys, lo, hi, dist``: a row per couple of listed words at most ``d`` apart.
+    """``*keys, lo, hi, dist, n``: couples of listed words at most ``d`` apart, a row standing for ``n``.
 
     A short vocabulary is written into the plan and a line is handled where it
-    is read.  A longer one is joined, and the hits of a line are brought back
-    together in blocks of bounded length.
+    is read, a row per couple.  A longer one is joined, and the hits of a line
+    are brought back together in blocks of bounded length.
     """
     if d < 0:
         raise ValueError("the distance must not be negative")
     listed = short_list(vocabulary)
     if listed is None:
         return couples_by_block(lines, vocabulary, d, keys)
-    found = _couples_of_line(lines, listed, d, keys)
-    return found.select(*keys, F.explode("couples").alias("c")).select(*keys, "c.lo", "c.hi", "c.dist")
+    found = _hits_of_line(lines, listed, keys).select(*keys, F.explode(_couples(F.col("hits"), d)).alias("c"))
+    return found.select(*keys, "c.lo", "c.hi", "c.dist", F.lit(1).cast("long").alias("n"))
 
 
-def _couples_of_line(lines: DataFrame, listed: list[str], d: int, keys: tuple[str, ...]) -> DataFrame:
-    """``*keys, couples``: the couples of each line as one array."""
+def _hits_of_line(lines: DataFrame, listed: list[str], keys: tuple[str, ...]) -> DataFrame:
+    """``*keys, hits``: the listed words of each line with their positions, as one array.
+
+    What is made of ``hits`` must be exploded as an expression.  Of an exploded
+    *column* Catalyst infers that its size is above 0, pushes that filter below
+    the projections and spells the tokeniser out inside the lambda, where it
+    runs for every hit.
+    """
 
     def hit(w: Column, p: Column) -> Column:
         return F.when(w.isin(listed), F.struct(p.alias("p"), w.alias("w")))
 
     hits = F.filter(F.transform(words(F.col("text")), hit), lambda h: h.isNotNull())
-    return lines.select(*keys, hits.alias("hits")).select(*keys, _couples(F.col("hits"), d).alias("couples"))
+    return lines.select(*keys, hits.alias("hits"))
 
 
 def couples_by_block(
@@ -83,14 +91,28 @@ def couples_by_block(
     block and, if a hit ``d`` before it lies in the block before, to that one
     too, where it is only looked at.  No group outgrows ``block + d`` hits.
     """
+    found = _couples_of_records(lines, vocabulary, d, keys, block)
+    given = [F.col(f"record.{k}") for k in keys]
+    return found.select(*given, "c.lo", "c.hi", "c.dist", "n")
+
+
+def _couples_of_records(
+    lines: DataFrame, vocabulary: Words, d: int, keys: tuple[str, ...], block: int = BLOCK
+) -> DataFrame:
+    """``record, c, n``: couples of each record, ``n`` the number of records that are equal.
+
+    A record is known by its keys and a digest of its text, so a task that is
+    computed again deals its rows as before, in whatever order they come.
+    Equal records have equal hits: these fold where they are read, and their
+    number is that of the hits brought together over that of the different ones.
+    """
     if d < 0:
         raise ValueError("the distance must not be negative")
     block = max(block, d, 1)
     if isinstance(vocabulary, DataFrame):
-        vocabulary = settled(vocabulary)
-    # A number of its own for every record: rows may share a doc_id and line_no.
-    own_key = F.struct(F.monotonically_increasing_id().alias("record"), *keys)
-    records = lines.select(own_key.alias("doc_id"), F.lit(0).cast("long").alias("line_no"), "text")
+        vocabulary = settled_if_possible(vocabulary)
+    record = F.struct(F.unhex(F.md5("text")).alias("digest"), *keys)
+    records = lines.select(record.alias("doc_id"), F.lit(0).cast("long").alias("line_no"), "text")
     found = keep_words(tokens(records), vocabulary)
     position = F.col("pos")
     own = F.floor(position / block)
@@ -99,23 +121,33 @@ def couples_by_block(
         F.col("doc_id").alias("record"), F.struct(position.alias("p"), F.col("tok").alias("w")).alias("hit"),
         F.explode(F.array_distinct(F.array(own, seen_from))).alias("block"),
     )
-    grouped = placed.groupBy("record", "block").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
+    grouped = placed.groupBy("record", "block").agg(
+        F.sort_array(F.collect_set("hit")).alias("hits"), F.count(F.lit(1)).alias("all_hits")
+    )
     of_block = _couples(F.col("hits"), d, lambda a: F.floor(a["p"] / block) == F.col("block"))
-    given = [F.col(f"record.{k}") for k in keys]
-    return grouped.select(*given, F.explode(of_block).alias("c")).select(*keys, "c.lo", "c.hi", "c.dist")
+    equal = F.expr("all_hits div size(hits)").alias("n")
+    return grouped.select("record", "block", "hits", equal).select("record", F.explode(of_block).alias("c"), "n")
 
 
 def couple_counts(lines: DataFrame, vocabulary: Words, d: int = 1) -> DataFrame:
     """``lo, hi, n``."""
-    return couples(lines, vocabulary, d).groupBy("lo", "hi").agg(F.count(F.lit(1)).alias("n"))
+    return couples(lines, vocabulary, d).groupBy("lo", "hi").agg(F.sum("n").alias("n"))
 
 
 def couple_counts_by_distance(lines: DataFrame, vocabulary: Words, max_d: int) -> DataFrame:
     """``d, lo, hi, n`` for every ``d`` from 1 to ``max_d``, in one pass over the text."""
-    apart = couples(lines, vocabulary, max_d).groupBy("lo", "hi", "dist").agg(F.count(F.lit(1)).alias("n"))
-    # Counted rows only: a couple `dist` apart belongs to every d >= dist.
-    spread = apart.select(F.explode(F.sequence("dist", F.lit(max_d))).alias("d"), "lo", "hi", "n")
-    return spread.groupBy("d", "lo", "hi").agg(F.sum("n").alias("n"))
+    apart = couples(lines, vocabulary, max_d).groupBy("lo", "hi", "dist").agg(F.sum("n").alias("n"))
+    return up_to_distance(apart, max_d)
+
+
+def up_to_distance(apart: DataFrame, max_d: int) -> DataFrame:
+    """``[...,] d, lo, hi, n`` from couples counted by how far apart they stand.
+
+    Counted rows only: a couple ``dist`` apart belongs to every ``d >= dist``.
+    """
+    keys = [c for c in apart.columns if c not in ("lo", "hi", "dist", "n")]
+    spread = apart.select(*keys, F.explode(F.sequence("dist", F.lit(max_d))).alias("d"), "lo", "hi", "n")
+    return spread.groupBy(*keys, "d", "lo", "hi").agg(F.sum("n").alias("n"))
 
 
 def pairs(counts: DataFrame) -> DataFrame:
@@ -162,29 +194,78 @@ def couple_counts_by_line(lines: DataFrame, vocabulary: Words, d: int = 1) -> Da
     keys = ("doc_id", "line_no")
     listed = short_list(vocabulary)
     if listed is None:
-        numbered = lines.withColumn("line_no", F.struct(F.monotonically_increasing_id().alias("record"), "line_no"))
-        counted = couples_by_block(numbered, vocabulary, d, keys).groupBy(*keys, "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
-        return counted.select("doc_id", "line_no.line_no", "lo", "hi", "n")
-    found = _couples_of_line(lines, listed, d, keys)
-    plain = F.transform("couples", lambda c: F.struct(c["lo"].alias("lo"), c["hi"].alias("hi")))
-    in_order = found.select(*keys, F.array_sort(plain).alias("c"))
+        counted = (
+            _couples_of_records(lines, vocabulary, d, keys).groupBy("record", "c.lo", "c.hi")
+            .agg(F.count(F.lit(1)).alias("n"), F.max("n").alias("equal"))
+        )
+        return _as_often(counted, "equal").select("record.doc_id", "record.line_no", "lo", "hi", "n")
+    plain = F.transform(_couples(F.col("hits"), d), lambda c: F.struct(c["lo"].alias("lo"), c["hi"].alias("hi")))
+    in_order = _hits_of_line(lines, listed, keys).select(*keys, F.array_sort(plain).alias("c"))
+    return _runs(in_order, keys).select(*keys, "run.c.lo", "run.c.hi", "run.n")
+
+
+def _as_often(rows: DataFrame, times: str) -> DataFrame:
+    """Each row as often as its column ``times`` says, by arrays of bounded length."""
+    last = F.floor((F.col(times) - 1) / RUN)
+    runs = rows.withColumn("__run", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    rest = F.least(F.lit(RUN).cast("long"), F.col(times) - F.col("__run") * RUN)
+    return runs.withColumn("__one", F.explode(F.sequence(F.lit(1).cast("long"), rest))).drop("__run", "__one")
+
+
+def _runs(in_order: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``*keys, run``: the runs ``(c, n)`` of equal values in the sorted array ``c``."""
+    return _with_starts(in_order, keys).select(*keys, F.explode(_measured()).alias("run"))
+
+
+def _with_starts(in_order: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``*keys, c, starts``: where the runs of the sorted array ``c`` begin, from 1."""
     size = F.size("c")
 
     def begins(at: Column) -> Column:
         return (at == 1) | (F.get("c", at - 1) != F.get("c", at - 2))
 
     starts = F.filter(F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>")), begins)
-    runs = F.transform(
+    return in_order.select(*keys, "c", starts.alias("starts"))
+
+
+def _measured() -> Column:
+    end = F.size("c") + 1
+    return F.transform(
         "starts",
-        lambda at, k: F.struct(F.get("c", at - 1).alias("c"), (F.coalesce(F.get("starts", k + 1), size + 1) - at).cast("long").alias("n")),
-    )
-    return (
-        in_order.select(*keys, "c", starts.alias("starts"))
-        .select(*keys, F.explode(runs).alias("run"))
-        .select(*keys, "run.c.lo", "run.c.hi", "run.n")
+        lambda at, k: F.struct(F.get("c", at - 1).alias("c"), (F.coalesce(F.get("starts", k + 1), end) - at).cast("long").alias("n")),
     )
 
 
+def couple_counts_both_ways(lines: DataFrame, vocabulary: Words, max_d: int) -> DataFrame:
+    """``folded, d, lo, hi, n``: couples counted one by one, and line by line first, for every distance.
+
+    With a short vocabulary both come from one pass: a line gives its couples
+    and the runs of its sorted couples, and one shuffle sums either kind.
+    """
+    if max_d < 0:
+        raise ValueError("the distance must not be negative")
+    listed = short_list(vocabulary)
+    if listed is None:
+        found = couples(lines, vocabulary, max_d)
+        by_line = (
+            _couples_of_records(lines, vocabulary, max_d, ("doc_id", "line_no")).groupBy("record", "c.lo", "c.hi", "c.dist")
+            .agg(F.sum("n").alias("n")).drop("record")
+        )
+        both = found.withColumn("folded", F.lit(False)).unionByName(by_line.withColumn("folded", F.lit(True)))
+    else:
+        in_order = _hits_of_line(lines, listed, ()).select(F.array_sort(_couples(F.col("hits"), max_d)).alias("c"))
+
+        def one(folded: bool, couple: Column, n: Column) -> Column:
+            return F.struct(F.lit(folded).alias("folded"), couple.alias("c"), n.alias("n"))
+
+        plain = F.transform("c", lambda c: one(False, c, F.lit(1).cast("long")))
+        runs = F.transform(_measured(), lambda r: one(True, r["c"], r["n"]))
+        both = _with_starts(in_order, ()).select(F.explode(F.concat(plain, runs)).alias("one")).select(
+            "one.folded", "one.c.lo", "one.c.hi", "one.c.dist", "one.n"
+        )
+    return up_to_distance(both.groupBy("folded", "lo", "hi", "dist").agg(F.sum("n").alias("n")), max_d)
+
+
 def pairs_by_line(lines: DataFrame, vocabulary: Words, d: int = 1) -> DataFrame:
     """``doc_id, line_no, w1, w2, n``: pairs counted line by line."""
     return pairs(couple_counts_by_line(lines, vocabulary, d))

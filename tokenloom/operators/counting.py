@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.functions.text import counted_words, without_patterns, words
-from tokenloom.operators.wordlists import Words, fits_broadcast, row_bound, stop_list, word_frame
+from tokenloom.functions.text import counted_words, strip_patterns, words
+from tokenloom.operators.wordlists import Words, fits_broadcast, is_small_list, stop_list, word_frame
 
 
 def word_count(lines: DataFrame, case_sensitive: bool = True, skip_patterns: Sequence[str] = ()) -> DataFrame:
@@ -17,8 +17,7 @@ def word_count(lines: DataFrame, case_sensitive: bool = True, skip_patterns: Seq
     Skip patterns are removed after lower-casing and before splitting.
     """
     text = F.col("text") if case_sensitive else F.lower("text")
-    # A projection of its own, so that the stripped line is computed once.
-    stripped = lines.select(without_patterns(text, skip_patterns).alias("text"))
+    stripped = strip_patterns(lines.select(text.alias("text")), skip_patterns)
     found = stripped.select(F.explode(counted_words(F.col("text"))).alias("word"))
     return found.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
@@ -28,7 +27,7 @@ def word_count_no_stop(records: DataFrame, stop_words: Words) -> DataFrame:
     found = records.select(F.explode(words(F.col("text"))).alias("word"))
     stop_words = stop_list(stop_words)
     stop = word_frame(stop_words, records, "word")
-    if fits_broadcast(stop, row_bound(stop_words)):
+    if is_small_list(stop_words) or (isinstance(stop_words, DataFrame) and fits_broadcast(stop)):
         return _counted(found.join(F.broadcast(stop), "word", "left_anti"))
     # Too long a list to broadcast: counted words are one row each, so no key is hot.
     return _counted(found).join(stop, "word", "left_anti")

@@ -9,8 +9,8 @@ from tokenloom.functions.porter import with_stem
 from tokenloom.functions.scoring import ASSUMED_DOCS, term_score
 from tokenloom.functions.text import words
 from tokenloom.operators.tokens import stem_vocabulary
-from tokenloom.operators.wordlists import Words, drop_words, fits_broadcast, salted_join, stop_list
-from tokenloom.session import settled
+from tokenloom.operators.wordlists import Words, drop_words, fits_broadcast, salted_join, settled_if_short, stop_list
+from tokenloom.session import settled_if_possible
 
 
 def doc_freq(records: DataFrame, stop_words: Words) -> DataFrame:
@@ -44,8 +44,9 @@ def term_freq(records: DataFrame, terms: DataFrame, at_most: int | None = None)
     tf = F.count(F.lit(1)).alias("tf")
     # The words of a stem are looked up, so no occurrence is stemmed.
     stems = stem_vocabulary(records)
-    listed = stems.join(F.broadcast(terms), "stem") if fits_broadcast(terms, at_most) else stems.join(terms, "stem")
-    surface = settled(listed.select("tok", "stem", "df"))
+    terms = settled_if_short(terms, at_most)
+    listed = stems.join(F.broadcast(terms), "stem") if fits_broadcast(terms) else stems.join(terms, "stem")
+    surface = settled_if_possible(listed.select("tok", "stem", "df"))
     if fits_broadcast(surface):
         return found.join(F.broadcast(surface), "tok").groupBy("doc_id", "stem", "df").agg(tf)
     # Counted first, a frequent word of a long document is one row.

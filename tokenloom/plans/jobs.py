@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tokenloom.functions.scoring import ASSUMED_DOCS
 from tokenloom.operators import cooccurrence as cooc
 from tokenloom.operators import counting, indexing
-from tokenloom.session import settled
+from tokenloom.session import settled_if_possible
 from tokenloom.sinks import lines as out
 from tokenloom.sources import lists
 from tokenloom.sources.records import file_lines
@@ -62,9 +63,25 @@ def top_terms_job(spark: SparkSession, frequencies: str, target: str, k: int = 1
     out.write_lines(out.frequency_lines(terms), target)
 
 
-def score_job(spark: SparkSession, corpus: str, target: str, terms: str, n_docs: int = ASSUMED_DOCS) -> None:
+def score_job(
+    spark: SparkSession, corpus: str, target: str, terms: str, n_docs: int = ASSUMED_DOCS, ordered: bool = True
+) -> None:
+    """Scores by document and term, or without the sort in whatever order they come."""
     scores = indexing.tf_score(file_lines(spark, corpus), lists.read_term_table(spark, terms), n_docs)
-    out.write_lines(out.score_lines(scores), target)
+    out.write_lines(out.score_lines(scores, ordered), target)
+
+
+def matrices_job(
+    spark: SparkSession, corpus: str, target: str, vocabulary: str, distances: Sequence[int] = (1, 2, 3, 4)
+) -> None:
+    """Pairs, stripes and pairs folded by line for all ``distances``, as ``layout=.../d=.../`` below ``target``.
+
+    One pass over the corpus and one write.
+    """
+    lines, listed = file_lines(spark, corpus), lists.read_vocabulary(spark, vocabulary)
+    counts = cooc.couple_counts_both_ways(lines, listed, max(distances)).filter(F.col("d").isin(list(distances)))
+    # Read three times below; couples of listed words only, so small beside the corpus.
+    out.write_lines(out.matrix_lines(settled_if_possible(counts)), target, ("layout", "d"))
 
 
 def run_all(
@@ -74,25 +91,17 @@ def run_all(
     stop_words: str,
     distances: Sequence[int] = (1, 2, 3, 4),
     n_docs: int = ASSUMED_DOCS,
+    ordered: bool = True,
 ) -> None:
     """Every result under ``target``, in four passes over the corpus.
 
-    The matrices of all distances come from one pass: couples are counted by
-    how far apart they stand, and that small table is kept.  What one step
-    hands to the next is read back from what it wrote.
+    What one step hands to the next is read back from what it wrote.
     """
     top_words_job(spark, corpus, f"{target}/top_words", stop_words)
-    vocabulary = lists.read_vocabulary(spark, f"{target}/top_words")
-    counts = settled(
-        cooc.couple_counts_by_distance(file_lines(spark, corpus), vocabulary, max(distances))
-    )
-    for d in distances:
-        of_d = counts.filter(counts.d == d).drop("d")
-        out.write_lines(out.pair_lines(cooc.pairs(of_d)), f"{target}/pairs_d{d}")
-        out.write_lines(_stripes(of_d), f"{target}/stripes_d{d}")
+    matrices_job(spark, corpus, f"{target}/matrices", f"{target}/top_words", distances)
     doc_freq_job(spark, corpus, f"{target}/doc_freq", stop_words)
     top_terms_job(spark, f"{target}/doc_freq", f"{target}/top_terms")
-    score_job(spark, corpus, f"{target}/scores", f"{target}/top_terms", n_docs)
+    score_job(spark, corpus, f"{target}/scores", f"{target}/top_terms", n_docs, ordered)
 
 
 def _stripes(counts: DataFrame) -> DataFrame:

@@ -7,10 +7,10 @@ suffixes one after the other.
 
 from __future__ import annotations
 
-from tokenloom.functions.porter import STEP_2, STEP_3, STEP_4
 from tokenloom.functions.scoring import ASSUMED_DOCS
 from tokenloom.plans.queries import (
-    DISTANCES, LINE_BYTES, LONG_LIST_COUNT, LONG_SKIP_PATTERNS, SKIP_PATTERNS, STOP, TOP_TERMS, TOP_WORDS,
+    BAD_TERM_LINES, BAD_VOCABULARY_LINES, DISTANCES, LINE_BYTES, LONG_LIST_COUNT, LONG_SKIP_PATTERNS, SKIP_PATTERNS, STOP,
+    STOP_LINES, TOP_TERMS, TOP_WORDS,
 )
 
 
@@ -91,6 +91,21 @@ def _skipped(line: str, patterns: list[str]) -> str:
 
 _C, _V = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
 
+# The published suffix tables once more, apart from those the
+# Spark form uses, so that a slip in either shows.  "-" stands for nothing.
+SQL_STEP_2 = """
+ational ate, tional tion, enci ence, anci ance, izer ize, bli ble, alli al, entli ent, eli e, ousli ous, ization ize,
+ation ate, ator ate, alism al, iveness ive, fulness ful, ousness ous, aliti al, iviti ive, biliti ble, logi log"""
+SQL_STEP_3 = "icate ic, ative -, alize al, iciti ic, ical ic, ful -, ness -"
+SQL_STEP_4 = """
+al -, ance -, ence -, er -, ic -, able -, ible -, ant -, ement -, ment -, ent -, ion -, ou -, ism -, ate -, iti -, ous -,
+ive -, ize -"""
+
+
+def _suffixes(text: str) -> dict[str, str]:
+    rows = (row.split() for row in text.split(","))
+    return {suffix: "" if other == "-" else other for suffix, other in rows}
+
 
 def _measure(text: str, above: int) -> str:
     return f"regexp_matches({text}, '^({_C})?({_V}{_C}){{{above + 1}}}')"
@@ -138,9 +153,9 @@ def _stem_ctes(source: str) -> tuple[str, ...]:
            WHEN {doubled} THEN {_less(2)}
            WHEN {_short(_less(1))} THEN {_less(1)} || 'e' ELSE {_less(1)} END""",
         f"CASE WHEN suffix(w, 'y') AND {_vowel(_less(1))} THEN {_less(1)} || 'i' ELSE w END",
-        _suffix_case(STEP_2, 0),
-        _suffix_case(STEP_3, 0),
-        _suffix_case(STEP_4, 1),
+        _suffix_case(_suffixes(SQL_STEP_2), 0),
+        _suffix_case(_suffixes(SQL_STEP_3), 0),
+        _suffix_case(_suffixes(SQL_STEP_4), 1),
         f"""CASE WHEN suffix(w, 'e') AND ({_measure(_less(1), 1)}
            OR ({_measure(_less(1), 0)} AND NOT {_short(_less(1))})) THEN {_less(1)} ELSE w END""",
         f"CASE WHEN suffix(w, 'll') AND {_measure('w', 1)} THEN {_less(1)} ELSE w END",
@@ -177,6 +192,34 @@ _LONG = f"top AS (SELECT word FROM counts WHERE n >= {LONG_LIST_COUNT})"
 _EVERY = "top AS (SELECT DISTINCT tok AS word FROM toks)"
 _TAB = "chr(9)"
 
+
+def _list(lines: list[str]) -> str:
+    text = ", ".join(_text(line) for line in lines)
+    return f"unnest([{text}])"
+
+
+# Side files as lines, parsed in SQL.
+_TOP_LINES = (
+    f"top_lines AS (SELECT word || {_TAB} || n AS value FROM top UNION ALL SELECT {_list(BAD_VOCABULARY_LINES)})",
+    r"listed AS (SELECT DISTINCT string_split_regex(value, '\s+')[1] AS word FROM top_lines WHERE string_split_regex(value, '\s+')[1] <> '')",
+    "hits AS (SELECT * FROM toks WHERE tok IN (SELECT word FROM listed))",
+)
+_TERM_LINES = (
+    f"term_lines AS (SELECT stem || {_TAB} || df AS value FROM terms UNION ALL SELECT {_list(BAD_TERM_LINES)})",
+    f"""read_terms AS (SELECT f[1] AS stem, CAST(f[2] AS BIGINT) AS df FROM
+      (SELECT string_split(rtrim(value, {_TAB}), {_TAB}) AS f FROM term_lines) WHERE len(f) = 2)""",
+    f"""read_tfs AS (SELECT doc AS doc_id, stem, df, count(*) AS tf
+      FROM toks JOIN stems USING (tok) JOIN read_terms USING (stem) GROUP BY doc, stem, df)""",
+)
+_STOP_LINES = (
+    rf"stop AS (SELECT DISTINCT lower(regexp_replace(value, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')) AS word FROM (SELECT {_list(STOP_LINES)} AS value))"
+)
+# Texts written to files: every line ends with a terminator.
+_FILE_LINES = rf"""lines AS (
+  SELECT rtrim(raw, chr(13) || chr(10)) AS line FROM (
+    SELECT unnest(regexp_extract_all(text || chr(10), '[^\r\n]*(?:\r\n|\r|\n)')) AS raw FROM docs)
+  WHERE strlen(raw) < {LINE_BYTES})"""
+
 _TOKEN_ROWS = "SELECT doc AS doc_id, line_no, pos, tok FROM toks"
 _PAIRS_BY_LINE = (
     f"SELECT a.doc AS doc_id, a.line_no, a.tok AS w1, b.tok AS w2, count(*) AS n FROM {_near(2)} "
@@ -194,7 +237,9 @@ ORACLES: dict[str, str] = {
     "word_count_skip_long": _with(DOCS, LINES) + _word_count(_skipped("lower(line)", LONG_SKIP_PATTERNS)),
     "word_count_bounded": _with(DOCS, LINES)
     + _word_count("line", f"strlen(line) + CASE WHEN ended THEN 1 ELSE 0 END < {LINE_BYTES}"),
+    "word_count_bounded_files": _with(DOCS, _FILE_LINES) + _word_count("line"),
     "word_count_no_stop": _with(*_COUNTED) + "SELECT word, n FROM counts",
+    "word_count_stop_lines": _with(*_BASE, _STOP_LINES, COUNTS) + "SELECT word, n FROM counts",
     "top50_words": _with(*_TOP) + "SELECT word, n FROM top",
     "top50_words_text": _with(*_TOP) + f"SELECT word || {_TAB} || n AS value FROM top",
     "top50_words_conversations": _with(*_TALK_TOP) + "SELECT word, n FROM top",
@@ -204,6 +249,17 @@ ORACLES: dict[str, str] = {
     "cooc_pairs_sweep": _with(*_HITS)
     + f"SELECT g.d, a.tok AS w1, b.tok AS w2, count(*) AS n FROM {_near(max(DISTANCES))} "
     f"JOIN {_DISTANCES} g ON abs(a.pos - b.pos) <= g.d WHERE a.tok <> b.tok GROUP BY 1, 2, 3",
+    "cooc_pairs_from_text_d2": _with(*_TOP, *_TOP_LINES) + _pairs(2),
+    "cooc_matrices_text": _with(*_HITS) + " UNION ALL ".join(
+        [
+            f"SELECT {_text(layout)} AS layout, {d}::INTEGER AS d, w1 || ',' || w2 || {_TAB} || n AS value FROM ({_pairs(d)})"
+            for d in DISTANCES for layout in ("pairs", "folded_pairs")
+        ]
+        + [
+            f"SELECT 'stripes' AS layout, {d}::INTEGER AS d, word || {_TAB} || {_STRIPE} AS value FROM ({_stripe_rows(d)}) GROUP BY word"
+            for d in DISTANCES
+        ]
+    ),
     "cooc_pairs_by_line": _with(*_HITS) + _PAIRS_BY_LINE,
     "cooc_pairs_refold": _with(*_HITS)
     + f"SELECT w1, w2, sum(n)::BIGINT AS n FROM ({_PAIRS_BY_LINE}) GROUP BY w1, w2",
@@ -227,6 +283,8 @@ ORACLES: dict[str, str] = {
     "top100_df_text": _with(*_TERMS) + f"SELECT stem || {_TAB} || df AS value FROM terms",
     "term_freq": _with(*_TERMS, TF) + "SELECT doc_id, stem, df, tf FROM tfs",
     "tf_score": _with(*_SCORES) + "SELECT doc_id, term, round(score, 4) AS score FROM scores",
+    "tf_score_from_text": _with(*_TERMS, *_TERM_LINES)
+    + f"SELECT doc_id, stem AS term, round(tf * log10({float(ASSUMED_DOCS)} / df + 1), 4) AS score FROM read_tfs",
     "tf_score_text": _with(*_SCORES)
     + f"SELECT doc_id || {_TAB} || term || {_TAB} || printf('%.4f', score) AS value FROM scores",
     "tf_score_head": _with(*_SCORES)

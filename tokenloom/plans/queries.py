@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,11 @@ from tokenloom.operators import cooccurrence as cooc
 from tokenloom.operators import counting, indexing
 from tokenloom.operators.tokens import stem_vocabulary, tokens
 from tokenloom.operators.wordlists import drop_words, keep_words
+from tokenloom.session import shared_folder
 from tokenloom.sinks import lines as out
+from tokenloom.sources import lists
 from tokenloom.sources.lists import DEFAULT_STOP_WORDS
-from tokenloom.sources.records import spread_small_input, table_lines
+from tokenloom.sources.records import file_lines, spread_small_input, table_lines
 
 STOP = DEFAULT_STOP_WORDS
 TOP_WORDS = 50
@@ -22,6 +25,10 @@ DISTANCES = (1, 2, 3, 4)
 LINE_BYTES = 200
 SKIP_PATTERNS = ["[0-9]+", "http[a-z:/.]*", "'s"]
 LONG_SKIP_PATTERNS = [f"x{i}y" for i in range(600)] + ["th", "e[rn]"]
+# Untidy side files: line ends of another system, blanks, blank lines, repeats.
+STOP_LINES = [line for word in STOP for line in (f" {word.upper()}\t\r", "", word)]
+BAD_VOCABULARY_LINES = ["", " \t", "\tthe 1"]
+BAD_TERM_LINES = ["", "name", "name\t1\t2", "\t\t"]
 # Words this frequent make a list too long to stand in a plan.
 LONG_LIST_COUNT = 2
 
@@ -46,6 +53,15 @@ def _turn_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_lines(keyed)
 
 
+def _as_lines(spark: SparkSession, lines: list[str]) -> DataFrame:
+    return spark.range(0, 1, 1, 1).select(F.explode(F.lit(lines)).alias("value"))
+
+
+def _with_lines(lines: DataFrame, more: list[str]) -> DataFrame:
+    """``lines`` and one row for each of ``more``."""
+    return _as_lines(lines.sparkSession, more).unionByName(lines)
+
+
 def _top(records: DataFrame) -> DataFrame:
     return counting.top_words(counting.word_count_no_stop(records, STOP), TOP_WORDS)
 
@@ -137,15 +153,42 @@ def cooc_pairs_turns_long_list_d2(spark, sf_dir):
     return cooc.pairs(cooc.couple_counts(turns, vocabulary, 2))
 
 
+def cooc_matrices_text(spark, sf_dir):
+    """All matrices of all distances, as one write lays them out."""
+    vocabulary = _vocabulary(_docs(spark, sf_dir))
+    return out.matrix_lines(cooc.couple_counts_both_ways(_lines(spark, sf_dir), vocabulary, max(DISTANCES)))
+
+
+def cooc_pairs_from_text_d2(spark, sf_dir):
+    """The vocabulary is parsed from the lines that ``top50_words_text`` gives, among lines without a word."""
+    vocabulary = lists.parse_vocabulary(_with_lines(top50_words_text(spark, sf_dir), BAD_VOCABULARY_LINES))
+    return cooc.pairs(cooc.couple_counts(_lines(spark, sf_dir), vocabulary, 2))
+
+
 def word_count_skip_long(spark, sf_dir):
-    return counting.word_count(_lines(spark, sf_dir), case_sensitive=False, skip_patterns=LONG_SKIP_PATTERNS)
+    """Hundreds of patterns, parsed from lines."""
+    patterns = lists.parse_skip_patterns(_as_lines(spark, LONG_SKIP_PATTERNS))
+    return counting.word_count(_lines(spark, sf_dir), case_sensitive=False, skip_patterns=patterns)
+
+
+def word_count_stop_lines(spark, sf_dir):
+    """The stop words are parsed from untidy lines."""
+    stop = lists.parse_stop_words(_as_lines(spark, STOP_LINES))
+    return counting.word_count_no_stop(_docs(spark, sf_dir), stop)
+
+
+def word_count_bounded_files(spark, sf_dir):
+    """The texts are written to files, and lines of these are bounded as they are read."""
+    folder = f"{shared_folder(spark)}/bounded-{uuid.uuid4().hex}"
+    _docs(spark, sf_dir).select("text").write.text(folder)
+    return counting.word_count(file_lines(spark, folder, LINE_BYTES))
 
 
 def cooc_pairs_long_list_d2(spark, sf_dir):
     counts = counting.word_count_no_stop(_docs(spark, sf_dir), STOP)
     vocabulary = counts.filter(F.col("n") >= LONG_LIST_COUNT).select("word")
     found = cooc.couples_by_block(_lines(spark, sf_dir), vocabulary, 2)
-    return cooc.pairs(found.groupBy("lo", "hi").agg(F.count(F.lit(1)).alias("n")))
+    return cooc.pairs(found.groupBy("lo", "hi").agg(F.sum("n").alias("n")))
 
 
 def cooc_pairs_conversations_d2(spark, sf_dir):
@@ -207,6 +250,13 @@ def tf_score(spark, sf_dir):
     return _scores(spark, sf_dir).withColumn("score", F.round("score", 4))
 
 
+def tf_score_from_text(spark, sf_dir):
+    """The term table is parsed from the lines that ``top100_df_text`` gives, among lines of another form."""
+    terms = lists.parse_term_table(_with_lines(top100_df_text(spark, sf_dir), BAD_TERM_LINES))
+    scores = indexing.tf_score(_docs(spark, sf_dir), terms, at_most=TOP_TERMS)
+    return scores.withColumn("score", F.round("score", 4))
+
+
 def tf_score_text(spark, sf_dir):
     return out.score_lines(_scores(spark, sf_dir))
 
@@ -225,6 +275,8 @@ QUERIES: dict[str, Query] = {
     "word_count_skip": word_count_skip,
     "word_count_skip_long": word_count_skip_long,
     "word_count_bounded": word_count_bounded,
+    "word_count_bounded_files": word_count_bounded_files,
+    "word_count_stop_lines": word_count_stop_lines,
     "word_count_no_stop": word_count_no_stop,
     "top50_words": top50_words,
     "top50_words_text": top50_words_text,
@@ -232,6 +284,8 @@ QUERIES: dict[str, Query] = {
     **{f"cooc_pairs_d{d}": cooc_pairs(d) for d in DISTANCES},
     "cooc_pairs_text_d2": cooc_pairs_text_d2,
     "cooc_pairs_sweep": cooc_pairs_sweep,
+    "cooc_matrices_text": cooc_matrices_text,
+    "cooc_pairs_from_text_d2": cooc_pairs_from_text_d2,
     "cooc_pairs_by_line": cooc_pairs_by_line,
     "cooc_pairs_refold": cooc_pairs_refold(2),
     **{f"cooc_pairs_refold_d{d}": cooc_pairs_refold(d) for d in DISTANCES},
@@ -248,6 +302,7 @@ QUERIES: dict[str, Query] = {
     "top100_df_text": top100_df_text,
     "term_freq": term_freq,
     "tf_score": tf_score,
+    "tf_score_from_text": tf_score_from_text,
     "tf_score_text": tf_score_text,
     "tf_score_head": tf_score_head,
 }

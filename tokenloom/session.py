@@ -29,6 +29,17 @@ def local_session(cores: int | str = 8, **settings: str) -> SparkSession:
     return spark
 
 
+def runs_in_one_process(spark: SparkSession) -> bool:
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
+def names_shared_folder(spark: SparkSession) -> bool:
+    """Whether a checkpoint folder is set, or may be made because all tasks run in this process."""
+    context = spark.sparkContext
+    named = context._jsc.sc().getCheckpointDir().nonEmpty() or context.getConf().get("spark.checkpoint.dir") is not None
+    return named or runs_in_one_process(spark)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """URI of this session's checkpoint folder, which all executors share.
 
@@ -39,7 +50,7 @@ def shared_folder(spark: SparkSession) -> str:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = context.getConf().get("spark.checkpoint.dir")
         if folder is None:
-            if not re.fullmatch(r"local(\[.*\])?", context.master):
+            if not runs_in_one_process(spark):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="tokenloom-checkpoint-")
             atexit.register(shutil.rmtree, folder, ignore_errors=True)
@@ -51,3 +62,8 @@ def settled(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared checkpoint folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def settled_if_possible(df: DataFrame) -> DataFrame:
+    """:func:`settled`; on a cluster that names no folder ``df`` as it is, computed by each use."""
+    return settled(df) if names_shared_folder(df.sparkSession) else df

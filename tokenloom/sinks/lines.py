@@ -7,10 +7,13 @@ is sorted and so is the sequence of parts.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.scoring import four_decimals
+from tokenloom.operators import cooccurrence as cooc
 
 
 def _tabbed(*fields: Column) -> Column:
@@ -46,6 +49,24 @@ def stripe_lines(stripe_maps: DataFrame) -> DataFrame:
     return stripe_maps.orderBy("word").select(_tabbed(F.col("word"), stripe_text(F.col("stripe"))))
 
 
+def matrix_lines(counts: DataFrame) -> DataFrame:
+    """``layout, d, value``: pairs, stripes and pairs folded by line, of every distance, as their lines.
+
+    Takes the ``folded, d, lo, hi, n`` of :func:`cooccurrence.couple_counts_both_ways`.
+    Rows are in order of layout, distance and the line's key, so one range
+    partitioning sorts all matrices.
+    """
+    both = cooc.pairs(counts).select(
+        F.when(F.col("folded"), "folded_pairs").otherwise("pairs").alias("layout"), "d",
+        pair_key().alias("key"), F.col("n").cast("string").alias("cells"),
+    )
+    maps = cooc.stripes(cooc.stripe_rows(counts.filter(~F.col("folded")).drop("folded")))
+    rows = both.unionByName(maps.select(
+        F.lit("stripes").alias("layout"), "d", F.col("word").alias("key"), stripe_text(F.col("stripe")).alias("cells")
+    ))
+    return rows.orderBy("layout", "d", "key").select("layout", "d", _tabbed(F.col("key"), F.col("cells")))
+
+
 def frequency_lines(frequencies: DataFrame) -> DataFrame:
     """``stem<TAB>df`` in the order given."""
     return frequencies.select(_tabbed(F.col("stem"), F.col("df")))
@@ -62,6 +83,10 @@ def score_head(scores: DataFrame, rows: int = 20) -> DataFrame:
     return scores.orderBy("doc_id", "term").limit(rows)
 
 
-def write_lines(lines: DataFrame, path: str) -> None:
-    """Write the column ``value`` as text; an existing ``path`` is an error."""
-    lines.write.mode("errorifexists").text(path)
+def write_lines(lines: DataFrame, path: str, by: Sequence[str] = ()) -> None:
+    """Write the column ``value`` as text; an existing ``path`` is an error.
+
+    With columns ``by`` there is a folder ``by=value`` for each of their values,
+    all from one write.
+    """
+    lines.write.mode("errorifexists").partitionBy(*by).text(path)

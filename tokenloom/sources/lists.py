@@ -37,25 +37,48 @@ def word_table(spark: SparkSession, words: Iterable[str]) -> DataFrame:
 
 
 def read_stop_words(spark: SparkSession, path: str) -> DataFrame:
-    """One word per line, trimmed and in lower case; blank lines are skipped."""
-    words = spark.read.text(path).select(F.lower(_trimmed("value")).alias("word"))
-    return words.filter("word <> ''").distinct()
+    return parse_stop_words(spark.read.text(path))
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
-    """The first blank-separated field of each line, as written."""
-    words = spark.read.text(path).select(F.split("value", r"\s+")[0].alias("word"))
-    return words.filter("word <> ''").distinct()
+    return parse_vocabulary(spark.read.text(path))
 
 
 def read_term_table(spark: SparkSession, path: str) -> DataFrame:
+    return parse_term_table(spark.read.text(path))
+
+
+def read_skip_patterns(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The regular expressions in ``paths``, in file order."""
+    patterns: dict[str, None] = {}
+    for path in [paths] if isinstance(paths, str) else paths:
+        patterns |= dict.fromkeys(parse_skip_patterns(spark.read.text(path)))
+    return list(patterns)
+
+
+# What follows takes lines, a frame with the text column ``value``, wherever they come from.
+
+
+def parse_stop_words(lines: DataFrame) -> DataFrame:
+    """``word``: one word per line, trimmed and in lower case; blank lines are skipped."""
+    words = lines.select(F.lower(_trimmed("value")).alias("word"))
+    return words.filter("word <> ''").distinct()
+
+
+def parse_vocabulary(lines: DataFrame) -> DataFrame:
+    """``word``: the first blank-separated field of each line, as written."""
+    words = lines.select(F.split("value", r"\s+")[0].alias("word"))
+    return words.filter("word <> ''").distinct()
+
+
+def parse_term_table(lines: DataFrame) -> DataFrame:
     """``stem, df`` from tab-separated lines of two fields; other lines are skipped.
 
-    A count that is no integer, or below 1, is an error.  Of several lines for a stem the
-    last one holds.
+    A count that is no integer, or below 1, is an error.  Of several lines for a
+    stem the last one in the order of ``lines`` holds.
     """
     fields = F.split(F.regexp_replace("value", r"\t+$", ""), "\t")
-    rows = spark.read.text(path).select(fields.alias("f"), F.monotonically_increasing_id().alias("at"))
+    rows = lines.select(fields.alias("f"), F.monotonically_increasing_id().alias("at"))
     number = F.when(F.col("f")[1].rlike(r"^[+-]?\d+$"), F.col("f")[1].cast("long")).otherwise(
         F.raise_error(F.concat(F.lit("document frequency is not a number: "), F.col("f")[1]))
     )
@@ -70,9 +93,6 @@ def read_term_table(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_skip_patterns(spark: SparkSession, paths: str | list[str]) -> list[str]:
-    """The regular expressions in ``paths``, one per line, in file order."""
-    patterns: dict[str, None] = {}
-    for path in [paths] if isinstance(paths, str) else paths:
-        patterns |= dict.fromkeys(row.value for row in spark.read.text(path).toLocalIterator())
-    return list(patterns)
+def parse_skip_patterns(lines: DataFrame) -> list[str]:
+    """The regular expressions, one per line, each once, in the order of ``lines``."""
+    return list(dict.fromkeys(row.value for row in lines.select("value").toLocalIterator()))
