@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import context_tree, decontamination, language_id, mixing, multiset_hash, ngram_join, prefix_free, template_extraction, token_rollup, warc_zip
+from tokenloom.llm import context_tree, cross_polytope, decontamination, language_id, mixing, multiset_hash, ngram_join, prefix_free, spelling_trie, template_extraction, token_alignment, token_rollup, warc_zip
 from tokenloom.session import shared_folder
 
 
@@ -71,6 +71,18 @@ def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_trie.variants(spelling_trie.misspelt_words(table(spark, sf_dir, "documents")))
+
+
+def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": mix,
     "op2_token_rollup": rollup,
@@ -82,4 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_leaks": leaks,
     "op9_extraction": extraction,
     "op10_prefix_free": repeats,
+    "op11_spelling_trie": spelling,
+    "op12_cross_polytope": neighbours,
+    "op13_token_alignment": alignment,
 }
