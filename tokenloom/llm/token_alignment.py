@@ -30,8 +30,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -108,10 +110,14 @@ def tokenizers(folder: str, file_a: str = FILE_A, file_b: str = FILE_B) -> Token
     return _loaded[key]
 
 
+# A space that no token need start at: one at either end, or before white space.
+UNEVEN = re.compile(r"^ | (?:\s|$)")
+
+
 def units(text: str) -> list[str]:
     """``text`` cut before spaces that both tokenizers start a token at; the space itself goes."""
     parts = text.split(" ")
-    if all(p and not p[0].isspace() for p in parts):
+    if not UNEVEN.search(text):
         return parts
     out = [parts[0]]
     for before, part in zip(parts, parts[1:], strict=False):
@@ -165,27 +171,74 @@ def transposed(a: Rows, n_cols: int) -> Rows:
     return np.searchsorted(a[1][order], np.arange(n_cols + 1)), rows[order], a[2][order]
 
 
+Ids = tuple[np.ndarray, np.ndarray]  # of all units in order, and how many each has
+
+
+def _alone(tok: Tokenizers, unit: str) -> tuple[list[int], list[int]]:
+    """The ids of one unit by either tokenizer; none if they do not give its bytes back."""
+    a, b, raw = tok.a.encode_ordinary(" " + unit), tok.b.encode(unit), (" " + unit).encode()
+    same = b"".join(map(tok.bytes_a.__getitem__, a)) == raw == b"".join(map(tok.bytes_b.__getitem__, b))
+    return (a, b) if same else ([], [])
+
+
+def _together(tok: Tokenizers, found: list[str]) -> tuple[Ids, Ids] | None:
+    """The ids of units that both tokenizers keep apart, encoded as one text; None if its bytes do not come back."""
+    joined = " ".join(found)
+    raw = (" " + joined).encode()
+    ends = np.cumsum([len(u) + 1 if u.isascii() else len(u.encode()) + 1 for u in found])
+    out = []
+    for ids, spelt, size in ((tok.a.encode_ordinary(" " + joined), tok.bytes_a, tok.size_a), (tok.b.encode(joined), tok.bytes_b, tok.size_b)):
+        if b"".join(map(spelt.__getitem__, ids)) != raw:
+            return None
+        ids = np.array(ids, np.int64)
+        end = np.cumsum(size[ids])
+        last = np.searchsorted(end, ends)
+        if not np.array_equal(end[last], ends):
+            return None
+        out.append((ids, np.diff(last + 1, prepend=0)))
+    return out[0], out[1]
+
+
+def encoded(tok: Tokenizers, found: list[str]) -> tuple[Ids, Ids, np.ndarray]:
+    """The ids of each unit by A and by B, and whether they give its bytes back."""
+    n = len(found)
+    plain = np.fromiter((u != "" and u[-1] != " " and not u[0].isspace() and "▁" not in u for u in found), bool, n)
+    many = [u for u, p in zip(found, plain, strict=True) if p]
+    made = _together(tok, many) if many else None
+    if made is None:
+        plain[:] = False
+    rest = [(i, _alone(tok, found[i])) for i in np.flatnonzero(~plain).tolist()]
+    valid = plain.copy()
+    out = []
+    for k in (0, 1):
+        count, place = np.zeros(n, np.int64), np.flatnonzero(plain)
+        if made is not None:
+            count[place] = made[k][1]
+        for i, ids in rest:
+            count[i] = len(ids[k])
+            valid[i] = count[i] > 0
+        flat, ptr = np.empty(int(count.sum()), np.int64), np.concatenate([[0], np.cumsum(count)])
+        if made is not None:
+            _, at = expanded(ptr, place)
+            flat[at] = made[k][0]
+        for i, ids in rest:
+            flat[ptr[i] : ptr[i + 1]] = ids[k]
+        out.append((flat, count))
+    return out[0], out[1], valid
+
+
 class Alignment:
     """Tokens, overlap links and groups of some texts laid end to end."""
 
     def __init__(self, tok: Tokenizers, found: list[str], overlaps: bool = False):
-        a = tok.a.encode_ordinary_batch([" " + u for u in found], num_threads=1)
-        b = tok.b.encode(found, num_threads=1)
-        raw = [(" " + u).encode() for u in found]
-        self.valid = np.array([
-            b"".join(map(tok.bytes_a.__getitem__, x)) == r == b"".join(map(tok.bytes_b.__getitem__, y)) for x, y, r in zip(a, b, raw, strict=True)
-        ], bool)
-        a = [x if ok else [] for x, ok in zip(a, self.valid, strict=True)]
-        b = [x if ok else [] for x, ok in zip(b, self.valid, strict=True)]
-        self.n_a, self.n_b = np.array([len(x) for x in a], np.int64), np.array([len(x) for x in b], np.int64)
-        self.a = np.fromiter((i for x in a for i in x), np.int64, int(self.n_a.sum()))
-        self.b = np.fromiter((i for x in b for i in x), np.int64, int(self.n_b.sum()))
+        (self.a, self.n_a), (self.b, self.n_b), self.valid = encoded(tok, found)
         size_a, size_b = tok.size_a[self.a], tok.size_b[self.b]
         self.end_a, self.end_b = np.cumsum(size_a), np.cumsum(size_b)
         if overlaps:
             bytes_a, bytes_b = byte_rows(size_a), byte_rows(size_b)
             self.overlaps = row_product(bytes_a, transposed(bytes_b, int(self.end_b[-1]) if len(self.b) else 0))
-        self.ends = np.intersect1d(self.end_a, self.end_b)
+        at = np.searchsorted(self.end_b, self.end_a)  # both go up, and end at the same byte
+        self.ends = self.end_a[self.end_b[at] == self.end_a] if len(self.b) else self.end_a
         self.group_a, self.group_b = np.searchsorted(self.ends, self.end_a), np.searchsorted(self.ends, self.end_b)
         self.unit_a = np.repeat(np.arange(len(found)), self.n_a)
         self.unit_b = np.repeat(np.arange(len(found)), self.n_b)
@@ -269,16 +322,17 @@ COLUMNS = [column.split()[0] for column in ROWS.split(", ")]
 def _documents(known: Units, rows: pa.Array, ids: pa.Array, texts: list[str | None]) -> Iterator[pa.RecordBatch]:
     """Some documents to :data:`ROWS`."""
     found = [units(t) if t else [] for t in texts]
-    fresh = {u for us in found for u in us if u not in known.index}
+    met = set(chain.from_iterable(found))
+    fresh = met.difference(known.index)
     if len(known.index) + len(fresh) > KEPT_UNITS:
         known.clear()
-        fresh = {u for us in found for u in us}
+        fresh = met
     if fresh:
         known.learn(list(fresh))
     index = known.index
     n = len(texts)
     count = np.array([len(us) for us in found], np.int64)
-    unit = np.fromiter((index[u] for us in found for u in us), np.int64, int(count.sum()))
+    unit = np.array(list(map(index.__getitem__, chain.from_iterable(found))), np.int64)
     doc = np.repeat(np.arange(n), count)
     numbers = np.stack([np.bincount(doc, row[unit], n).astype(np.int64) for row in known.numbers])
     valid = (numbers[4] == count) & (count > 0)
@@ -286,7 +340,7 @@ def _documents(known: Units, rows: pa.Array, ids: pa.Array, texts: list[str | No
     at = np.concatenate([[0], np.cumsum(count)])
     text = known.text
     digests = [
-        hashlib.sha256(";".join([text[u] for u in unit[at[i] : at[i + 1]].tolist()]).encode()).hexdigest() if valid[i] else "" for i in range(n)
+        hashlib.sha256(";".join(map(text.__getitem__, unit[at[i] : at[i + 1]].tolist())).encode()).hexdigest() if valid[i] else "" for i in range(n)
     ]
     keep = valid[doc]
     ptr, of_unit, times = summed(doc[keep], unit[keep], np.ones(int(keep.sum()), np.int64), n)
