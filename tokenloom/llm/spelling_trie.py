@@ -170,9 +170,12 @@ def neighbours(words: DataFrame) -> DataFrame:
     ).sortWithinPartitions("pos").write.parquet(f"{folder}/starts")
     nodes, starts = spark.read.parquet(f"{folder}/nodes"), spark.read.parquet(f"{folder}/starts")
 
+    entered = {row.pos for row in starts.select("pos").distinct().collect()}  # at most LONG numbers
     states = spark.createDataFrame([], FOUND)
     found = [states]
     for depth in range(min(longest, LONG) + 1):
+        if depth not in entered and states.where("near IS NULL").isEmpty():
+            continue
         here = starts.where(F.col("pos") == depth).withColumn("edits", F.lit(0))
         here = here.unionByName(states.where("near IS NULL").drop("near", "near_n"))
         states = settled(_level(here, nodes.where(F.col("depth") == depth).drop("depth"), depth))
