@@ -1,14 +1,18 @@
 """Finding passages of benchmark items in documents.
 
 Words are runs of letters and digits (ASCII lower-cased; bytes above 127 count
-as letters).  An item's seeds are its rare ``SEED``-word n-grams, those that at
-most ``RARE`` documents hold, and among every ``SPREAD`` neighbours the rarest.
-So every stretch of an item has a seed, however often it was copied.
-Where a document holds a seed, the words around it are aligned with the item by
-Smith-Waterman (``MATCH``, ``MISMATCH``, ``GAP`` a word).  The score is that of
-the best alignment over that of the item with itself; a document holds the item
-if the score is at least ``LEAST`` and ``WORDS`` words (or all of the item)
-match.  So an edited or paraphrased copy is found as long as one seed is left.
+as letters).  An item's seeds are its ``SEED``-word n-grams that some document
+holds; how many hold one plays no part, so a copy is not lost in a corpus that
+has its n-grams in many other places.  Where a document holds a seed, the words
+around it are aligned with the item by Smith-Waterman (``MATCH``, ``MISMATCH``,
+``GAP`` a word).  The score is that of the best alignment over that of the item
+with itself; a document holds the item if the score is at least ``LEAST`` and
+``WORDS`` words (or all of the item) match.
+
+Frequent seeds would lead to many alignments that come to nothing.  A score of
+``LEAST`` needs that share of the item's words to match, so an alignment is only
+made where so many of them stand in the region at all, which is cheap to see and
+never wrong.  A copy is found if three words of it in a row are left as they were.
 
 Documents are scanned twice, for counts and for alignments; nothing but the
 counts of the items' n-grams is shuffled.  Benchmark items come in blocks of
@@ -22,6 +26,7 @@ repeated items once each.  Without documents or items the result is empty.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,13 +38,14 @@ from pyspark.sql import functions as F
 from tokenloom.llm.bytetext import Words, pieces, shingles
 
 SEED = 3
-SPREAD = 4
-RARE = 1_000
 MATCH, MISMATCH, GAP = 2, -2, -2
 LEAST = 0.5
 WORDS = 8
 BLOCK_WORDS = 2_000_000
 
+# A word as `_FOLD` leaves it: all other bytes become spaces.
+WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+
 _FOLD = np.full(256, 32, np.uint8)
 for _lo, _hi in ((48, 58), (97, 123), (128, 256)):
     _FOLD[_lo:_hi] = np.arange(_lo, _hi)
@@ -94,7 +100,7 @@ def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterato
     rows, size = [], 0
     for row in benchmark.select(F.col("item_id").cast("long"), "text").where("text IS NOT NULL").distinct().toLocalIterator():
         rows.append(tuple(row))
-        size += row[1].count(" ") + 1
+        size += len(WORD.findall(row[1].encode()))
         if size >= block_words:
             yield item_block(rows)
             rows, size = [], 0
@@ -141,17 +147,21 @@ def _count(block):
 
 
 def seeds(block: Items, docs_of_gram: np.ndarray) -> Items:
-    """The block with seeds only: rare n-grams, and the rarest of every ``SPREAD`` neighbours of an item."""
-    order = np.lexsort((block.place[:, 2], block.place[:, 1]))
-    item, rarity = block.place[order, 1], docs_of_gram[block.place[order, 0]]
-    keep = rarity <= RARE
-    bounds = np.flatnonzero(np.diff(item, prepend=-1, append=-1))
-    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-        for a in range(lo, max(lo, hi - SPREAD) + 1):
-            keep[a + int(np.argmin(rarity[a : min(a + SPREAD, hi)]))] = True
-    chosen = np.zeros(len(order), bool)
-    chosen[order[keep]] = True
-    return block.only(chosen)
+    """The block with the n-grams only that documents hold."""
+    return block.only(docs_of_gram[block.place[:, 0]] > 0)
+
+
+def may_hold(item: np.ndarray, words: np.ndarray) -> bool:
+    """Whether enough of the item's words stand among ``words`` for an alignment of :data:`LEAST`.
+
+    With ``m`` matches a score is at most ``m`` times ``MATCH``, and words that
+    match are words of the item, each at most as often as it stands in either.
+    """
+    need = max(int(np.ceil(LEAST * len(item))), min(WORDS, len(item)))
+    kinds, of = np.unique(item, return_inverse=True)
+    at = _look_up(words, kinds)
+    both = np.minimum(np.bincount(of, minlength=len(kinds)), np.bincount(at[at >= 0], minlength=len(kinds)))
+    return int(both.sum()) >= need
 
 
 def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int, int]:
@@ -215,8 +225,10 @@ def _matches(block: Items, table: _Filter, data: np.ndarray, off: np.ndarray) ->
         for k in range(1, len(begins) + 1):
             if k == len(begins) or begins[k] - begins[k - 1] > length:
                 a = max(0, begins[lo] - length // 2)
-                found = align(own, of_text[a : begins[k - 1] + length + length // 2])
-                best = max(best, (found[0], found[1], found[2] + a, found[3] + a), key=lambda x: x[0])
+                region = of_text[a : begins[k - 1] + length + length // 2]
+                if may_hold(own, region):
+                    found = align(own, region)
+                    best = max(best, (found[0], found[1], found[2] + a, found[3] + a), key=lambda x: x[0])
                 lo = k
         score = best[0] / (MATCH * length)
         if score >= LEAST and best[1] >= min(WORDS, length):
@@ -240,18 +252,20 @@ def _search(block):
     return run
 
 
-def _without(block):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _holds(block):
+    """Whether a text holds an item of the block."""
+
+    def run(texts: pa.Array) -> pa.Array:
         items = Items(*block.value)
         table = _Filter(items.grams)
-        for batch in batches:
-            keep = np.ones(batch.num_rows, bool)
-            for first, _, data, off in pieces(batch.column(batch.schema.get_field_index("text"))):
-                for t, *_ in _matches(items, table, data, off):
-                    keep[first + t] = False
-            yield batch if keep.all() else batch.filter(pa.array(keep))
+        held = np.zeros(len(texts), bool)
+        for first, _, data, off in pieces(texts):
+            for t, *_ in _matches(items, table, data, off):
+                held[first + t] = True
+        return pa.array(held)
 
-    return run
+    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, "boolean")
 
 
 def _seeded(docs: DataFrame, block: Items):
@@ -277,7 +291,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without those that hold an item; no row is shuffled."""
+    """``docs`` without those that hold an item; no row is shuffled, and only texts go to Python.
+
+    Each block is judged on all of ``docs``, so no scan waits for another's.
+    """
+    kept = docs
     for block in item_blocks(benchmark):
-        docs = docs.mapInArrow(_without(_seeded(docs, block)), docs.schema)
-    return docs
+        kept = kept.where(~_holds(_seeded(docs, block))(F.col("text")))
+    return kept

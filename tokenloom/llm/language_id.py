@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -147,37 +148,56 @@ def decode(model: Model, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return share.argmax(axis=1), share.max(axis=1), second
 
 
-def _predict(model: Model):
+def _judge(model: Model, text: pa.Array, lettered: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Language, score and ambiguity of each text."""
     names = np.array([*model.languages, UNKNOWN], dtype=object)
+    n = len(text)
+    lettered = np.array(lettered.fill_null(False).to_pylist(), bool)
+    best = np.full(n, len(names) - 1)
+    score, second = np.zeros(n), np.zeros(n)
+    for first, end, data, off in pieces(text):
+        if not model.languages:
+            break
+        sums = np.zeros((end - first, model.code.shape[1]))
+        seen = np.zeros(end - first)
+        for grams, of in _grams(data, off):
+            seen += np.bincount(of, minlength=end - first)
+            for bit, weights in enumerate(model.weights):
+                sums[:, bit] += np.bincount(of, weights=weights[grams], minlength=end - first)
+        found = decode(model, sums / np.maximum(seen, 1)[:, None])
+        known = lettered[first:end]
+        best[first:end] = np.where(known, found[0], len(names) - 1)
+        score[first:end] = np.where(known, found[1], 0.0)
+        second[first:end] = np.where(known, found[2], 0.0)
+    return pa.array(names[best].tolist(), pa.string()), pa.array(score), pa.array((best < len(names) - 1) & (score < SURE))
+
 
+def _predict(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lettered = np.array(batch.column(batch.num_columns - 1).fill_null(False).to_pylist(), bool)
-            best = np.full(batch.num_rows, len(names) - 1)
-            score, second = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
-            for first, end, data, off in pieces(batch.column(batch.num_columns - 2)):
-                if not model.languages:
-                    break
-                sums = np.zeros((end - first, model.code.shape[1]))
-                seen = np.zeros(end - first)
-                for grams, text in _grams(data, off):
-                    seen += np.bincount(text, minlength=end - first)
-                    for bit, weights in enumerate(model.weights):
-                        sums[:, bit] += np.bincount(text, weights=weights[grams], minlength=end - first)
-                found = decode(model, sums / np.maximum(seen, 1)[:, None])
-                known = lettered[first:end]
-                best[first:end] = np.where(known, found[0], len(names) - 1)
-                score[first:end] = np.where(known, found[1], 0.0)
-                second[first:end] = np.where(known, found[2], 0.0)
             given = [batch.column(i) for i in range(batch.num_columns - 2)]
-            yield pa.RecordBatch.from_arrays(
-                [*given, pa.array(names[best].tolist(), pa.string()), pa.array(score), pa.array((best < len(names) - 1) & (score < SURE))],
-                names=[*batch.schema.names[:-2], "lang_pred", "score", "ambiguous"],
-            )
+            found = _judge(model, batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1))
+            yield pa.RecordBatch.from_arrays([*given, *found], names=[*batch.schema.names[:-2], "lang_pred", "score", "ambiguous"])
 
     return run
 
 
+def is_clear(model: Model, text: Column) -> Column:
+    """Whether the language of ``text`` is known and unambiguous.
+
+    Only the text goes to Python and only the answer comes back, so other
+    columns may have any name and type.
+    """
+
+    def run(texts: pa.Array, lettered: pa.Array) -> pa.Array:
+        language, _, ambiguous = _judge(model, texts, lettered)
+        return pc.and_(pc.not_equal(language, UNKNOWN), pc.invert(ambiguous))
+
+    # Without annotations that executors would have to look up.
+    run.__annotations__ = {"texts": pa.Array, "lettered": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, "boolean")(text, has_letter(text))
+
+
 def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 

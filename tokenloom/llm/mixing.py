@@ -100,11 +100,17 @@ def with_copies(docs: DataFrame, rates: DataFrame, seed: str = "mix") -> DataFra
 
 
 def mix_documents(docs: DataFrame, weights=cyclic_weights, most: int = MOST, seed: str = "mix") -> DataFrame:
-    """Every document as often as the mix takes it, with ``copy`` from 0."""
+    """Every document as often as the mix takes it, with ``copy`` from 0.
+
+    Where ``docs`` has a column of that name the number is called ``copy_2``,
+    or the first of ``copy_3`` and so on that is free.
+    """
+    taken_names = {c.lower() for c in docs.columns}
+    name = next(n for n in ("copy", *(f"copy_{k}" for k in range(2, len(taken_names) + 3))) if n not in taken_names)
     taken = with_copies(docs, source_rates(docs, weights, most), seed)
     return taken.select(
         *[F.col(f"`{c}`") for c in docs.columns],
-        F.explode(F.filter(F.sequence(F.lit(0), F.col("__mix_copies")), lambda k: k < F.col("__mix_copies"))).alias("copy"),
+        F.explode(F.filter(F.sequence(F.lit(0), F.col("__mix_copies")), lambda k: k < F.col("__mix_copies"))).alias(name),
     )
 
 

@@ -284,7 +284,7 @@ def one_per_group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, r
     A row is what its id and text say, kept apart by a 64-bit hash of both: two
     texts under one id are two rows, and rows without id are in groups too.
     Rows of equal id and text stay or go together; without ``repeated`` one of
-    them stays, the smallest in its other columns.
+    them stays, the one whose columns written as JSON come first.
     """
     row = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
     groups = similar_groups(docs.select(row.alias("doc_id"), "text"), width, percent)
@@ -296,9 +296,10 @@ def one_per_group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, r
     if repeated:
         return kept
     again = ids.where("times > 1").select("row")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     if again.isEmpty():
         return kept
-    one = _joined(kept, row, again, "left_semi").groupBy(row.alias("row")).agg(F.min(F.struct(*docs.columns)).alias("one")).select("one.*")
+    one = _joined(kept, row, again, "left_semi").groupBy(row.alias("row")).agg(F.min_by(whole, F.to_json(whole)).alias("one")).select("one.*")
     return _joined(kept, row, again, "left_anti").unionByName(one)
 
 
