@@ -3,6 +3,13 @@
 Each stage takes the documents its predecessor kept, written as Parquet and
 read again, and returns those it keeps; all but the last return the columns of
 ``documents``.
+
+Cases.  A null or empty text, or one without letters, goes in the first stage.
+Of rows of one id and text one stays, also where the id is null; of rows of one
+text the one of smallest id, null last.  Texts of any length are read whole.
+Columns beside those of ``documents`` are carried along, whatever their names
+and types; where one is called ``copy``, the last stage's is ``copy_2``.  An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,8 +31,7 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     query does.  Texts without a letter and ambiguous ones go.
     """
     model = language_id.fit(docs.where(language_id.learnable(F.col("doc_id"))))
-    found = language_id.predict(model, docs, *docs.columns)
-    return found.where(F.col("lang_pred") != language_id.UNKNOWN).where("NOT ambiguous").select(*docs.columns)
+    return docs.where(language_id.is_clear(model, F.col("text")))
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
