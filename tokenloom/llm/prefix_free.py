@@ -55,6 +55,8 @@ GRAM = 16
 BLOCK_BYTES = 6 << 20
 # A task packs the rows of a block together as often as it has read so much.
 PACK_BYTES = 24 << 20
+# Places in a piece of no more bytes are kept in 32 bits.
+NARROW = 1 << 30
 LAST = (1 << 63) - 1
 
 REQUEST = "bucket int, blk long, step int, keys binary, first binary, docs binary"
@@ -74,11 +76,11 @@ def _least(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def parse(data: np.ndarray, off: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """Phrases of texts: text, first and last string start, trigger's place and hash; then the running hash."""
+    """Phrases of texts: text, first and last string start, trigger's place and hash."""
     prefix = prefix_hash(data)
     none = np.zeros(0, np.int64)
     if len(data) < length:
-        return none, none, none, none, none.astype(np.uint64), prefix
+        return none, none, none, none, none.astype(np.uint64)
     at = np.arange(len(data) - GRAM + 1)
     h = span_hashes(prefix, at, at + GRAM)
     trigger = _least(h, length - GRAM + 1)
@@ -89,11 +91,18 @@ def parse(data: np.ndarray, off: np.ndarray, length: int = LENGTH) -> tuple[np.n
     last = np.ones(len(trigger), bool)
     last[:-1] = new[1:] | ~whole[1:]
     lo, hi = np.flatnonzero(new & whole), np.flatnonzero(last & whole)
-    return text[lo], lo, hi, trigger[lo], h[trigger[lo]], prefix
+    return text[lo], lo, hi, trigger[lo], h[trigger[lo]]
+
+
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return span_hashes(prefix_hash(data), start, end) if len(start) else np.zeros(0, np.uint64)
 
 
 class Block:
-    """The documents of a block in order of id, parsed piece by piece."""
+    """The documents of a block in order of id, parsed piece by piece.
+
+    Running hashes take eight bytes a byte, so a piece's are made anew for each step.
+    """
 
     def __init__(self, table: pa.Table, length: int):
         self.length = length
@@ -104,11 +113,15 @@ class Block:
         self.order = np.array(sorted(range(len(ids)), key=lambda i: (ids[i], raw[i].as_py())) if len(set(ids.tolist())) < len(ids) else np.argsort(ids), np.int64)
         self.ids = ids[self.order]
         self.texts = raw.take(pa.array(self.order))
-        self.parts = [(lo, data, off, parse(data, off, length)) for lo, _, data, off in pieces(self.texts)]
-        gather = lambda f, kind: np.concatenate([np.zeros(0, kind), *map(f, self.parts)])
-        self.doc = gather(lambda p: p[3][0] + p[0], np.int64)
-        self.trigger = gather(lambda p: p[3][4], np.uint64)
-        self.known = Keys(self.trigger, self.doc, self.ids)
+        self.parts, self.found, doc, trigger = [], [], [], []
+        for first, _, data, off in pieces(self.texts):
+            text, lo, hi, at, value = parse(data, off, length)
+            self.parts.append((data, off))
+            self.found.append(tuple(x.astype(np.int32) for x in (lo, hi, at)) if len(data) <= NARROW else (lo, hi, at))
+            doc.append(text + first)
+            trigger.append(value)
+        self.doc = np.concatenate([np.zeros(0, np.int64), *doc])
+        self.known = Keys(np.concatenate([np.zeros(0, np.uint64), *trigger]), self.doc, self.ids)
 
     def phrases(self, docs_of_trigger: np.ndarray) -> None:
         """Keep the phrases whose trigger is in several places."""
@@ -116,11 +129,12 @@ class Block:
         self.count = docs_of_trigger[self.known.where][many]
         self.doc = self.doc[many]
         keys, self.span, k = [], [], 0
-        for _, _, _, (text, lo, hi, at, _, prefix) in self.parts:
-            mine = many[k : k + len(text)]
-            k += len(text)
-            keys.append(span_hashes(prefix, lo[mine], hi[mine] + self.length))
+        for (data, _), (lo, hi, at) in zip(self.parts, self.found, strict=True):
+            mine = many[k : k + len(lo)]
+            k += len(lo)
+            keys.append(_hashes(data, lo[mine], hi[mine] + self.length))
             self.span.append((lo[mine], hi[mine], at[mine]))
+        self.found = []
         self.known = Keys(np.concatenate([np.zeros(0, np.uint64), *keys]), self.doc, self.ids)
 
     def sides(self, first: np.ndarray, docs: np.ndarray) -> None:
@@ -133,7 +147,7 @@ class Block:
         left = ~self.whole & (docs[self.known.where] != self.count)
         keys, doc, self.ranges, k = [], [], [], 0
         half = (self.length - GRAM + 1) // 2
-        for (_, _, _, (*_, prefix)), (lo, hi, at) in zip(self.parts, self.span, strict=True):
+        for (data, _), (lo, hi, at) in zip(self.parts, self.span, strict=True):
             mine = left[k : k + len(lo)]
             lo, hi, at, of = lo[mine], hi[mine], at[mine], self.doc[k : k + len(mine)][mine]
             k += len(mine)
@@ -143,7 +157,7 @@ class Block:
                 np.concatenate([np.minimum(hi, at - half)[before], hi[after]]),
             ))
             reach = self.length - half + 1
-            keys += [span_hashes(prefix, (at - half)[before], (at + GRAM)[before]), span_hashes(prefix, at[after], (at + reach)[after])]
+            keys.append(_hashes(data, np.concatenate([(at - half)[before], at[after]]), np.concatenate([(at + GRAM)[before], (at + reach)[after]])))
             doc += [of[before], of[after]]
         self.side_doc = np.concatenate([np.zeros(0, np.int64), *doc])
         self.known = Keys(np.concatenate([np.zeros(0, np.uint64), *keys]), self.side_doc, self.ids)
@@ -152,22 +166,23 @@ class Block:
         """Keys of the strings whose side is in several places."""
         many = docs[self.known.where] > 1
         keys, doc, self.start, k = [], [], [], 0
-        for (_, _, _, (*_, prefix)), (lo, hi) in zip(self.parts, self.ranges, strict=True):
+        for (data, _), (lo, hi) in zip(self.parts, self.ranges, strict=True):
             mine = many[k : k + len(lo)]
             n = hi[mine] - lo[mine] + 1
             start = np.repeat(lo[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            keys.append(span_hashes(prefix, start, start + self.length))
+            keys.append(_hashes(data, start, start + self.length))
             doc.append(np.repeat(self.side_doc[k : k + len(lo)][mine], n))
             self.start.append(start)
             k += len(lo)
+        self.ranges = []
         self.suffix_doc = np.concatenate([np.zeros(0, np.int64), *doc])
         self.known = Keys(np.concatenate([np.zeros(0, np.uint64), *keys]), self.suffix_doc, self.ids)
 
-    def kept(self, first: np.ndarray) -> list[tuple[int, int, int, bytes]]:
+    def kept(self, first: np.ndarray) -> Iterator[tuple[int, int, int, bytes]]:
         """Bytes, removed bytes and runs, and the bytes that stay, of each document."""
         again = first[self.known.where] < self.ids[self.suffix_doc]
-        out, k, j = [], 0, 0
-        for (_, data, off, _), (lo, hi, _), start in zip(self.parts, self.span, self.start, strict=True):
+        k, j = 0, 0
+        for (data, off), (lo, hi, _), start in zip(self.parts, self.span, self.start, strict=True):
             mine = self.whole[k : k + len(lo)]
             k += len(lo)
             single = start[again[j : j + len(start)]]
@@ -182,8 +197,7 @@ class Block:
                 flags = gone[a:b]
                 removed = int(flags.sum())
                 runs = int((flags[1:] & ~flags[:-1]).sum() + flags[0]) if removed else 0
-                out.append((b - a, removed, runs, (data[a:b][~flags] if removed else data[a:b]).tobytes()))
-        return out
+                yield b - a, removed, runs, (data[a:b][~flags] if removed else data[a:b]).tobytes()
 
 
 class Keys:
@@ -277,10 +291,12 @@ def _pack() -> Callable:
     """Rows of a task packed by block: the shuffle moves compressed batches instead of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held: list[pa.RecordBatch] = []
+        size = 0
 
         def packed() -> pa.RecordBatch:
             table = pa.Table.from_batches(held)
+            held.clear()
             order = pc.sort_indices(table.column("__pfp_block"))
             table = table.take(order).combine_chunks()
             blk = table.column("__pfp_block").to_numpy()
@@ -298,10 +314,13 @@ def _pack() -> Callable:
             held.append(batch)
             size += batch.nbytes
             if size >= PACK_BYTES:
+                del batch
                 yield packed()
-                held, size = [], 0
+                pa.default_memory_pool().release_unused()
+                size = 0
         if held:
             yield packed()
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -315,22 +334,22 @@ def _finish(bits: int, length: int, schema: T.StructType, with_text: bool) -> Ca
     def run(key: tuple, docs: pa.Table, replies: pa.Table) -> pa.Table:
         docs = unpacked(docs)
         block = Block(docs, length)
+        null = docs.column("text").is_null().combine_chunks().take(pa.array(block.order)).to_pylist()
+        given = docs.drop_columns(["text"]).take(pa.array(block.order))
+        del docs  # the block has the texts
         block.phrases(block.known.told(replies, 1, bits)[1])
         block.sides(*block.known.told(replies, 2, bits))
         block.suffixes(block.known.told(replies, 3, bits)[1])
-        kept = block.kept(block.known.told(replies, 4, bits)[0])
-        ordered = docs.take(pa.array(block.order))
-        columns = {name: ordered.column(name) for name in ordered.column_names}
-        columns |= {
-            "__pfp_bytes": pa.array([k[0] for k in kept], pa.int64()),
-            "__pfp_removed": pa.array([k[1] for k in kept], pa.int64()),
-            "__pfp_spans": pa.array([k[2] for k in kept], pa.int64()),
-            "__pfp_sha256": pa.array([hashlib.sha256(k[3]).hexdigest() for k in kept], pa.string()),
-        }
+        report, texts = [], []
+        for none, (size, removed, spans, left) in zip(null, block.kept(block.known.told(replies, 4, bits)[0]), strict=True):
+            report.append((size, removed, spans, hashlib.sha256(left).hexdigest()))
+            if with_text:
+                texts.append(None if none else left.decode(errors="ignore"))
+        columns = {name: given.column(name) for name in given.column_names}
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
+        columns |= {f"__pfp_{name}": pa.array([r[k] for r in report], kinds[k]) for k, name in enumerate(("bytes", "removed", "spans", "sha256"))}
         if with_text:
-            was = ordered.column("text").combine_chunks()
-            null = was.is_null().to_pylist()
-            columns["text"] = pa.array([None if n else k[3].decode(errors="ignore") for k, n in zip(kept, null, strict=True)], pa.string())
+            columns["text"] = pa.array(texts, pa.string())
         return pa.Table.from_pydict({f.name: columns[f.name] for f in schema.fields})
 
     return run
