@@ -77,6 +77,40 @@ def test_rollup_counts_a_batch_once(spark, docs, odd, none):
     assert token_rollup.totals(spark, folder, ["odd", "none"]).agg(F.sum("docs")).first()[0] == 5
 
 
+def test_rollup_keeps_totals_in_a_base(spark, docs):
+    folder = f"{shared_folder(spark)}/rollup-base-test"
+    words = token_rollup.words(docs)
+    expected = sorted(map(tuple, token_rollup.inserted(words).groupBy("source", "lang", "tokenizer").agg(F.sum("docs"), F.sum("tokens")).collect()), key=str)
+    found = lambda: sorted(map(tuple, token_rollup.totals(spark, folder).collect()), key=str)
+    assert found() == [] and not token_rollup.compact(spark, folder)
+    marks = spark._jsc.hadoopConfiguration()
+    marks.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        assert token_rollup.commit(folder, "a b/c%", token_rollup.inserted(words))
+        assert found() == expected
+        assert token_rollup.compact(spark, folder) and not token_rollup.compact(spark, folder)
+    finally:
+        marks.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+    assert found() == expected
+    assert not token_rollup.commit(folder, "a b/c%", token_rollup.inserted(words))
+    # A batch or base that died before its marker counts for nothing.
+    token_rollup.inserted(words).write.parquet(f"{folder}/batch=dead")
+    token_rollup.inserted(words).write.parquet(f"{folder}/base=00000001")
+    assert found() == expected
+    more = words.withColumn("tokens", F.col("tokens") + 1)
+    assert token_rollup.commit(folder, "dead", token_rollup.revised(words, more))
+    revised = [(*r[:4], r[4] + r[3]) for r in expected]
+    assert found() == revised
+    assert token_rollup.compact(spark, folder)
+    assert found() == revised
+
+
+def test_rollup_finds_copies(spark):
+    rows = [(3, "s", "en", "a b"), (1, "s", "en", "a b"), (2, "t", "en", "a b"), (4, "s", "en", None), (5, "s", None, ""), (6, "s", "en", "c"), (None, "s", "en", "c")]
+    found = token_rollup.copies(spark.createDataFrame(rows, "doc_id long, source string, lang string, text string")).collect()
+    assert sorted(r.doc_id for r in found) == [2, 3, 5]
+
+
 def _groups(rows, width, percent):
     lower = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
     sets, name = {}, {}

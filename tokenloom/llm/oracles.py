@@ -27,16 +27,18 @@ SELECT d.doc_id, d.size, r.source_size, r.target,
 FROM docs d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source
 """
 
-# Words and bytes of all documents, less the words of those whose text one of smaller id has.
+# Words and stated lengths of all documents, less the words of those whose text one of smaller id has; lengths revised to bytes.
 ROLLUP = r"""
 WITH docs AS (
-  SELECT doc_id, source, lang, coalesce(text, '') AS text,
+  SELECT doc_id, source, lang, coalesce(text, '') AS text, coalesce(n_chars, 0) AS stated,
     CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS words FROM documents
 ), firsts AS (
   SELECT *, min(doc_id) OVER (PARTITION BY text) AS first FROM docs
 ), changes AS (
   SELECT source, lang, 'words-1' AS tokenizer, 1 AS docs, words AS tokens FROM docs
-  UNION ALL SELECT source, lang, 'bytes-1', 1, strlen(text) FROM docs
+  UNION ALL SELECT source, lang, 'bytes-1', 1, stated FROM docs
+  UNION ALL SELECT source, lang, 'bytes-1', -1, -stated FROM docs WHERE stated <> strlen(text)
+  UNION ALL SELECT source, lang, 'bytes-1', 1, strlen(text) FROM docs WHERE stated <> strlen(text)
   UNION ALL SELECT source, lang, 'words-1', -1, -words FROM firsts WHERE doc_id > first
 )
 SELECT source, lang, tokenizer, CAST(sum(docs) AS BIGINT) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens

@@ -48,18 +48,27 @@ def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents come in counted in words, are counted again in bytes, and lose their copies; one batch is sent twice."""
+    """Documents come in counted in words, with the length they state as their bytes, and lose their copies; where the bytes differ they are revised.
+
+    Two batches are sent twice, and what is there before the revision is made a base.
+    """
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/rollup-{uuid.uuid4().hex}"
     words = token_rollup.words(docs)
+    stated = F.coalesce("n_chars", F.lit(0))
+    wrong = docs.where(stated != F.coalesce(F.octet_length("text"), F.lit(0)))
     batches = {
         "load": token_rollup.inserted(words),
-        "bytes": token_rollup.inserted(token_rollup.utf8_bytes(docs)),
+        "bytes": token_rollup.inserted(token_rollup.counts(docs, "bytes-1", stated)),
         "copies": token_rollup.deleted(token_rollup.copies(docs).withColumn("tokenizer", F.lit("words-1"))),
+        "recount": token_rollup.revised(token_rollup.counts(wrong, "bytes-1", stated), token_rollup.utf8_bytes(wrong)),
     }
     for name in ("load", "bytes", "load", "copies"):
         token_rollup.commit(folder, name, batches[name])
-    return token_rollup.totals(spark, folder, list(batches))
+    token_rollup.compact(spark, folder)
+    for name in ("recount", "load", "recount"):
+        token_rollup.commit(folder, name, batches[name])
+    return token_rollup.totals(spark, folder)
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
