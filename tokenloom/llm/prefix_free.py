@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokenloom.llm.bytetext import pieces, prefix_hash, span_hashes
+from tokenloom.llm.bytetext import mix, pieces, prefix_hash, span_hashes
 
 LENGTH = 50
 GRAM = 16
@@ -119,7 +119,7 @@ class Block:
             self.parts.append((data, off))
             self.found.append(tuple(x.astype(np.int32) for x in (lo, hi, at)) if len(data) <= NARROW else (lo, hi, at))
             doc.append(text + first)
-            trigger.append(value)
+            trigger.append(mix(value))  # least hashes are small ones; mixed they fall evenly into buckets
         self.doc = np.concatenate([np.zeros(0, np.int64), *doc])
         self.known = Keys(np.concatenate([np.zeros(0, np.uint64), *trigger]), self.doc, self.ids)
 
