@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import model
 import pytest
@@ -135,3 +136,17 @@ def test_no_stop_words(lines):
 def test_score(spark, tf, df, expected):
     frame = spark.createDataFrame([(tf, df)], "tf long, df long")
     assert frame.select(four_decimals(term_score(F.col("tf"), F.col("df")))).first()[0] == expected
+
+
+def test_a_stage_is_skipped_where_no_pattern_matches(lines):
+    patterns = [f"x{i}y" for i in range(50)] + ["ab", "abc", "a[bc]+", "e|f", "z*q", "yy"] * 2
+    texts = ["", "none of them", "x1xx2yyx33y abcab", "zzq xx4yy f", "ab" * 40, "x49y" * 3]
+    expected = []
+    for text in texts:
+        for p in patterns:
+            text = re.sub(p, "", text)
+        expected.append(text)
+    stripped = strip_patterns(lines({"x": texts}).select("text"), patterns)
+    assert [r.text for r in stripped.collect()] == expected
+    plan = stripped._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == -(-len(patterns) // NESTED_PATTERNS)

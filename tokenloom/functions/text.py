@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -62,9 +64,48 @@ def strip_patterns(text: DataFrame, patterns: Sequence[str]) -> DataFrame:
 
     A long list goes in stages of :data:`NESTED_PATTERNS`.  Every pattern is a
     constant of its own, compiled once a task.  A generator between the stages
-    keeps Catalyst from nesting them all in one expression again.
+    keeps Catalyst from nesting them all in one expression again.  A text in
+    which no pattern of a stage matches passes the stage as it is.
     """
     for at in range(0, len(patterns), NESTED_PATTERNS):
-        stage = without_patterns(F.col("text"), patterns[at : at + NESTED_PATTERNS])
+        stage = _stage(patterns[at : at + NESTED_PATTERNS])
         text = text.select(stage.alias("text") if at == 0 else F.explode(F.array(stage)).alias("text"))
     return text
+
+
+# Below so many patterns a search for any of them saves nothing.
+GUARDED_PATTERNS = 8
+
+
+def _stage(patterns: Sequence[str]) -> Column:
+    text = F.col("text")
+    stripped = without_patterns(text, patterns)
+    guard = any_of(patterns) if len(patterns) >= GUARDED_PATTERNS else None
+    return stripped if guard is None else F.when(text.rlike(guard), stripped).otherwise(text)
+
+
+def any_of(patterns: Sequence[str]) -> str | None:
+    """One pattern that is found in a text if any of ``patterns`` is; None if they cannot be put together.
+
+    Groups, escapes and flags may mean something else beside other patterns.
+    Plain strings share their beginnings, so that one look tells that none starts here.
+    """
+    if any(re.search(r"[\\(]", p) for p in patterns):
+        return None
+    plain = sorted({p for p in patterns if not re.search(r"[.\[\]{})*+?^$|]", p)})
+    rest = [f"(?:{p})" for p in dict.fromkeys(patterns) if p not in plain]
+    return "|".join(([_either(plain)] if plain else []) + rest)
+
+
+def _either(plain: Sequence[str]) -> str:
+    """A pattern that is found where one of the sorted strings ``plain`` starts."""
+    if "" in plain:
+        return ""
+    starts: dict[str, list[str]] = {}
+    for p in plain:
+        starts.setdefault(p[0], []).append(p)
+    found = []
+    for same in starts.values():
+        shared = os.path.commonprefix(same)
+        found.append(shared + (_either([p[len(shared) :] for p in same]) if len(same) > 1 else ""))
+    return found[0] if len(found) == 1 else f"(?:{'|'.join(found)})"
