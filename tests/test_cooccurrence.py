@@ -212,3 +212,17 @@ def test_top_words_keep_one_word_per_count(spark):
     counts = spark.createDataFrame([("a", 2), ("b", 2), ("c", 1), ("a'x", 1), ("z", 5)], "word string, n long")
     assert [tuple(r) for r in top_words(counts).collect()] == [("z", 5), ("b", 2), ("c", 1)]
     assert [tuple(r) for r in top_words(counts, 2).collect()] == [("z", 5), ("b", 2)]
+
+
+def test_long_lists_shuffle_counted_couples_only(spark):
+    plan = QUERIES["cooc_pairs_long_list_d2"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "hashpartitioning(word#" not in line]
+    assert len(dealt) == 1 and "hashpartitioning(lo#" in dealt[0] and "collect_set" not in plan and "partial_sum" in plan
+
+
+def test_long_lists_that_are_not_broadcast(spark, lines, monkeypatch):
+    found = random_lines(12)
+    monkeypatch.setattr(wordlists, "BROADCAST_ROWS", 1)
+    listed = word_table(spark, VOCABULARY)
+    counts = cooc.counted_by_block(lines({"x": found}), listed, 3, block=4)
+    assert as_counter(cooc.stripe_rows(counts), "word", "neighbour") == model.stripes(found, set(VOCABULARY), 3)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.text import words
 from tokenloom.operators.tokens import tokens
-from tokenloom.operators.wordlists import Words, keep_words, short_list
+from tokenloom.operators.wordlists import Words, fits_broadcast, is_small_list, keep_words, short_list
 from tokenloom.session import settled_if_possible
 
 # Positions per block on the long-list path; a block also sees the `d` after it.
@@ -85,15 +85,62 @@ def _hits_of_line(lines: DataFrame, listed: list[str], keys: tuple[str, ...]) ->
 def couples_by_block(
     lines: DataFrame, vocabulary: Words, d: int, keys: tuple[str, ...] = (), block: int = BLOCK
 ) -> DataFrame:
-    """:func:`couples` for a vocabulary of any size.
+    """:func:`couples` for a vocabulary of any size: those of all words, less those with a word that is not listed."""
+    if isinstance(vocabulary, DataFrame):
+        vocabulary = settled_if_possible(vocabulary)
+    return _listed_only(_couples_of_all_words(lines, d, keys, block), vocabulary)
 
-    A line is cut into blocks of ``block`` positions.  Each hit goes to its own
-    block and, if a hit ``d`` before it lies in the block before, to that one
-    too, where it is only looked at.  No group outgrows ``block + d`` hits.
+
+def counted_by_block(
+    lines: DataFrame, vocabulary: Words, d: int, by: tuple[str, ...] = ("lo", "hi"), block: int = BLOCK
+) -> DataFrame:
+    """``*by, n``: couples counted, for a vocabulary of any size.
+
+    Positions are those of all words, so which couples there are does not hang on
+    the list: they are made where a line is read, and the only shuffle of their
+    occurrences is that of counted couples.  A list that can be broadcast is
+    looked up before counting, a longer one joined with the counted couples.
     """
-    found = _couples_of_records(lines, vocabulary, d, keys, block)
-    given = [F.col(f"record.{k}") for k in keys]
-    return found.select(*given, "c.lo", "c.hi", "c.dist", "n")
+    if isinstance(vocabulary, DataFrame):
+        vocabulary = settled_if_possible(vocabulary)
+    found = _couples_of_all_words(lines, d, (), block)
+    total = F.sum("n").alias("n")
+    if is_small_list(vocabulary) or isinstance(vocabulary, DataFrame) and fits_broadcast(vocabulary):
+        return _listed_only(found, vocabulary).groupBy(*by).agg(total)
+    return _listed_only(settled_if_possible(found.groupBy(*by).agg(total)), vocabulary)
+
+
+def _listed_only(found: DataFrame, vocabulary: Words) -> DataFrame:
+    return keep_words(keep_words(found, vocabulary, "lo"), vocabulary, "hi")
+
+
+def _couples_of_all_words(lines: DataFrame, d: int, keys: tuple[str, ...], block: int) -> DataFrame:
+    """``*keys, lo, hi, dist, n``: couples of all words at most ``d`` apart.
+
+    A line is cut into blocks of ``block`` positions, each with the ``d`` words
+    after it, so no array outgrows ``block * d`` couples.
+    """
+    if d < 0:
+        raise ValueError("the distance must not be negative")
+    block = max(block, d, 1)
+    size = F.size("words")
+    starts = F.when(size > 0, F.sequence(F.lit(1), size, F.lit(block))).otherwise(F.array().cast("array<int>"))
+    blocks = lines.select(*keys, words(F.col("text")).alias("words")).select(
+        *keys, F.explode(F.transform(starts, lambda at: F.slice("words", at, block + d))).alias("block")
+    )
+
+    def apart(k: int) -> Column:
+        """The couples ``k`` apart that start in a block."""
+        many = F.least(F.greatest(F.size("block") - k, F.lit(0)), F.lit(block))
+        return F.zip_with(
+            F.slice("block", 1, many), F.slice("block", k + 1, many),
+            lambda a, b: F.struct(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"), F.lit(k).alias("dist")),
+        )
+
+    couples_of_block = F.flatten(F.array(*[apart(k) for k in range(1, d + 1)])) if d else F.slice(apart(1), 1, 0)
+    return blocks.select(*keys, F.explode(couples_of_block).alias("c")).select(
+        *keys, "c.lo", "c.hi", "c.dist", F.lit(1).cast("long").alias("n")
+    )
 
 
 def _couples_of_records(
@@ -101,6 +148,9 @@ def _couples_of_records(
 ) -> DataFrame:
     """``record, c, n``: couples of each record, ``n`` the number of records that are equal.
 
+    A line is cut into blocks of ``block`` positions.  Each hit goes to its own
+    block and, if a hit ``d`` before it lies in the block before, to that one
+    too, where it is only looked at.  No group outgrows ``block + d`` hits.
     A record is known by its keys and a digest of its text, so a task that is
     computed again deals its rows as before, in whatever order they come.
     Equal records have equal hits: these fold where they are read, and their
@@ -131,12 +181,19 @@ def _couples_of_records(
 
 def couple_counts(lines: DataFrame, vocabulary: Words, d: int = 1) -> DataFrame:
     """``lo, hi, n``."""
-    return couples(lines, vocabulary, d).groupBy("lo", "hi").agg(F.sum("n").alias("n"))
+    return _counted(lines, vocabulary, d, ("lo", "hi"))
+
+
+def _counted(lines: DataFrame, vocabulary: Words, d: int, by: tuple[str, ...]) -> DataFrame:
+    listed = short_list(vocabulary)
+    if listed is None:
+        return counted_by_block(lines, vocabulary, d, by)
+    return couples(lines, listed, d).groupBy(*by).agg(F.sum("n").alias("n"))
 
 
 def couple_counts_by_distance(lines: DataFrame, vocabulary: Words, max_d: int) -> DataFrame:
     """``d, lo, hi, n`` for every ``d`` from 1 to ``max_d``, in one pass over the text."""
-    apart = couples(lines, vocabulary, max_d).groupBy("lo", "hi", "dist").agg(F.sum("n").alias("n"))
+    apart = _counted(lines, vocabulary, max_d, ("lo", "hi", "dist"))
     return up_to_distance(apart, max_d)
 
 
@@ -246,7 +303,7 @@ def couple_counts_both_ways(lines: DataFrame, vocabulary: Words, max_d: int) ->
         raise ValueError("the distance must not be negative")
     listed = short_list(vocabulary)
     if listed is None:
-        found = couples(lines, vocabulary, max_d)
+        found = counted_by_block(lines, vocabulary, max_d, ("lo", "hi", "dist"))
         by_line = (
             _couples_of_records(lines, vocabulary, max_d, ("doc_id", "line_no")).groupBy("record", "c.lo", "c.hi", "c.dist")
             .agg(F.sum("n").alias("n")).drop("record")

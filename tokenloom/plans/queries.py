@@ -187,8 +187,7 @@ def word_count_bounded_files(spark, sf_dir):
 def cooc_pairs_long_list_d2(spark, sf_dir):
     counts = counting.word_count_no_stop(_docs(spark, sf_dir), STOP)
     vocabulary = counts.filter(F.col("n") >= LONG_LIST_COUNT).select("word")
-    found = cooc.couples_by_block(_lines(spark, sf_dir), vocabulary, 2)
-    return cooc.pairs(found.groupBy("lo", "hi").agg(F.sum("n").alias("n")))
+    return cooc.pairs(cooc.counted_by_block(_lines(spark, sf_dir), vocabulary, 2))
 
 
 def cooc_pairs_conversations_d2(spark, sf_dir):
