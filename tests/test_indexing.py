@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import math
+import random
 from collections import Counter
 
 import model
+import pytest
 from porter_by_letter import stem
 
 from tokenloom.operators import wordlists
-from tokenloom.operators.indexing import doc_freq, term_freq, tf_score, top_terms
+from tokenloom.operators.indexing import doc_freq, term_freq, tf_score, top_doc_freq, top_terms
 
 DOCS = {
     "a.txt": ["Running runs run", "names namely the name"],
@@ -79,3 +81,15 @@ def test_long_lists_and_term_tables_give_the_same_rows(lines, spark, monkeypatch
     assert "__salt" in long._jdf.queryExecution().analyzed().toString()
     assert (sorted(long.collect()), sorted(doc_freq(lines(DOCS), STOP).collect())) == small
     assert [r.tf for r in long.collect() if r.stem == "hot"] == [500]
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_top_terms_by_bounds(spark, repeated):
+    rng = random.Random(4)
+    forms = ["walk", "walks", "walked", "walking", "run", "runs", "cat", "cats", "the", "thing", "things", "sky", "skies"]
+    rows = [(None if i == 0 else i // 2 if repeated else i, " ".join(rng.choices(forms, k=rng.randrange(4)))) for i in range(60)]
+    records = spark.createDataFrame(rows, "doc_id long, text string")
+    for k in (1, 2, 3, 50):
+        expected = top_terms(doc_freq(records, STOP), k).collect()
+        assert top_doc_freq(records, STOP, k).collect() == expected
+    assert top_doc_freq(records.limit(0), STOP, 3).count() == 0

@@ -86,3 +86,8 @@ def test_bucketed_documents_stay_where_they_are(spark, tmp_path):
         assert sorted(frequencies.collect()) == sorted(doc_freq(docs, STOP).collect())
     finally:
         spark.sql("DROP TABLE bucketed_docs")
+
+
+@pytest.mark.parametrize("name", ["top100_df", "tf_score"])
+def test_top_terms_stem_no_occurrence(spark, name):
+    assert "RLIKE" not in plan(spark, name)

@@ -12,7 +12,7 @@ from tokenloom.operators import cooccurrence as cooc
 from tokenloom.operators import counting, indexing
 from tokenloom.operators.tokens import stem_vocabulary, tokens
 from tokenloom.operators.wordlists import drop_words, keep_words
-from tokenloom.session import shared_folder
+from tokenloom.session import settled_if_possible, shared_folder
 from tokenloom.sinks import lines as out
 from tokenloom.sources import lists
 from tokenloom.sources.lists import DEFAULT_STOP_WORDS
@@ -230,19 +230,26 @@ def doc_freq_conversations(spark, sf_dir):
 
 
 def top100_df(spark, sf_dir):
-    return indexing.top_terms(doc_freq(spark, sf_dir), TOP_TERMS)
+    return indexing.top_doc_freq(_docs(spark, sf_dir), STOP, TOP_TERMS)
 
 
 def top100_df_text(spark, sf_dir):
     return out.frequency_lines(top100_df(spark, sf_dir))
 
 
+def _of_top_terms(operator, spark, sf_dir):
+    """``operator`` on the documents and their top terms, their words stemmed once for both."""
+    docs = _docs(spark, sf_dir)
+    stems = settled_if_possible(indexing.stem_counts(docs))
+    return operator(docs, indexing.top_doc_freq(docs, STOP, TOP_TERMS, stems), at_most=TOP_TERMS, stems=stems)
+
+
 def term_freq(spark, sf_dir):
-    return indexing.term_freq(_docs(spark, sf_dir), top100_df(spark, sf_dir), at_most=TOP_TERMS)
+    return _of_top_terms(indexing.term_freq, spark, sf_dir)
 
 
 def _scores(spark, sf_dir):
-    return indexing.tf_score(_docs(spark, sf_dir), top100_df(spark, sf_dir), at_most=TOP_TERMS)
+    return _of_top_terms(indexing.tf_score, spark, sf_dir)
 
 
 def tf_score(spark, sf_dir):
