@@ -88,6 +88,11 @@ def test_bucketed_documents_stay_where_they_are(spark, tmp_path):
         spark.sql("DROP TABLE bucketed_docs")
 
 
+def test_matrices_read_the_text_once(spark):
+    # The counts are kept, so what is left of the plan has no text in it.
+    assert "regexp_extract_all" not in plan(spark, "cooc_matrices_text")
+
+
 @pytest.mark.parametrize("name", ["top100_df", "tf_score"])
 def test_top_terms_stem_no_occurrence(spark, name):
     assert "RLIKE" not in plan(spark, name)

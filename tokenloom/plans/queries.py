@@ -156,7 +156,9 @@ def cooc_pairs_turns_long_list_d2(spark, sf_dir):
 def cooc_matrices_text(spark, sf_dir):
     """All matrices of all distances, as one write lays them out."""
     vocabulary = _vocabulary(_docs(spark, sf_dir))
-    return out.matrix_lines(cooc.couple_counts_both_ways(_lines(spark, sf_dir), vocabulary, max(DISTANCES)))
+    counts = cooc.couple_counts_both_ways(_lines(spark, sf_dir), vocabulary, max(DISTANCES))
+    # Each layout reads the counts with a filter of its own, so they would be made once for each.
+    return out.matrix_lines(settled_if_possible(counts))
 
 
 def cooc_pairs_from_text_d2(spark, sf_dir):
