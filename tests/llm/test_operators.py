@@ -193,6 +193,30 @@ def test_components(spark):
     assert found == {i: 1 for i in range(1, 41)} | {80: 80, 90: 80}
 
 
+def test_components_joined_further(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    pairs = [tuple(int(x) for x in p) for p in rng.integers(0, 300, (260, 2))]
+    expected = {}
+    for a, b in pairs * 300:
+        if a != b:
+            least = min(expected.get(a, a), expected.get(b, b))
+            if expected.get(a) == expected.get(b) == least:
+                continue
+            expected[a] = expected[b] = least
+    first, more = (spark.createDataFrame(p, "a long, b long") for p in (pairs[:150], pairs[150:]))
+    parts = components.components(first)
+    monkeypatch.setattr(components, "BROADCAST_ROWS", 0)
+    found = components.joined_further(parts, more).collect()
+    assert {r.id: r.component for r in found} == expected and len(found) == len(expected)
+
+
+def test_stars_take_no_further_step(spark, monkeypatch):
+    steps, settled = [], components.settled
+    monkeypatch.setattr(components, "settled", lambda df: steps.append(1) or settled(df))
+    star = spark.createDataFrame([(i, 0) for i in range(1, 40)], "a long, b long")
+    assert {r.component for r in components.components(star).collect()} == {0} and len(steps) == 1
+
+
 def test_language_on_held_out_documents(spark, docs, odd, none):
     rows = QUERIES["op4_language"](spark, SF_DIR).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
     assert sum(r.lang == r.lang_pred for r in rows) >= 0.95 * len(rows) and all(0 <= r.score <= 1 for r in rows)

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.llm.bytetext import Words, binary, digest, mix, pieces, shingles, signed
-from tokenloom.llm.components import components
+from tokenloom.llm.components import components, joined_further
 from tokenloom.operators.wordlists import fits_broadcast
 from tokenloom.session import settled
 
@@ -216,6 +216,8 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     each, are broadcast up to ``FEW_IDS`` of them; more are joined by a shuffle.
     """
     pairs = settled(pairs)
+    if pairs.isEmpty():
+        return pairs.select("a", "b")
     ids = settled(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct())
     side = F.broadcast(ids) if ids.count() <= FEW_IDS else ids
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(side, "id", "left_semi")
@@ -266,8 +268,7 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
         & may_link("x", "y", percent) & suffix_filter("x", "y", percent),
     ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.lit(0).cast("long").alias("w")).distinct()
     rest = fine_suffix_filter(rest, facts, percent).select("a", "b")
-    links = links.unionByName(verified(rest, rows, width, percent))
-    found = components(links)
+    found = joined_further(parts, verified(rest, rows, width, percent))
 
     named = features.alias("f").join(
         classes.select("k1", "k2", "id").alias("c"),
