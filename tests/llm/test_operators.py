@@ -465,6 +465,20 @@ def test_extraction_drops_classes(spark):
     assert sorted((i, "\n".join(t)) for i, t in text.items()) == _extracted(rows)
 
 
+def test_extraction_keeps_what_moves(spark):
+    """A class whose tokens change their gap or their order holds no template."""
+    story = "<section>story {}</section>"
+    rows = [(i, f"http://gap/{i}", "<body>" + ("on the move" + story if i % 2 else story + "on the move").format(i)) for i in range(6)]
+    rows += [(20 + i, f"http://order/{i}", "<body>" + ("<p>a<p>b" if i % 2 else "<p>b<p>a") + story.format(i)) for i in range(6)]
+    rows += [(40 + i, f"http://nested/{i}", "<body>" + "<table><td>cell</table>" * (i % 2) + story.format(i) + "read on" * (i % 2)) for i in range(12)]
+    rows += [(60 + i, f"http://still/{i}", f"<body>line{story.format(i)}legal") for i in range(6)]
+    text = _texts(spark, rows)
+    assert all(set(text[i]) == {"on the move", f"story {i}"} for i in range(6))
+    assert all(set(text[20 + i]) == {"a", "b", f"story {i}"} for i in range(6))
+    assert all("read on" in text[40 + i] and "cell" not in text[40 + i] for i in range(1, 12, 2))
+    assert all(text[60 + i] == [f"story {i}"] for i in range(6))
+
+
 @pytest.mark.parametrize("wrap", ["article", "div", "p"])
 def test_extraction_of_the_table(spark, wrap):
     pages = spark.read.parquet(f"{SF_DIR}/pages.parquet").select("page_id", "url", F.regexp_replace("html", "(</?)article>", f"$1{wrap}>").alias("html"))

@@ -7,8 +7,17 @@ equivalence class, wherever in the page they stand.  A class is valid if it
 holds a tag and occurs in at least ``SUPPORT`` pages: text that occurs exactly as
 some tag does, page by page, belongs to the template and not to the page.  The
 body, which a page need not spell out, is a tag that each page with any content
-has once.  The text that no valid class holds fills the slots.  Classes nest as
-their tags do; whether their tokens keep one order in all pages is not looked at.
+has once.  The text that no valid class holds fills the slots.
+
+Classes must be nested and ordered.  A token stands in a class: that of the
+nearest tag around it which pages have at most once.  Its gap is what lies
+between two tags of that class.  A class is nested if each of its tokens keeps to
+one gap on all pages; tokens of other gaps are split off, and of what is left
+text is template only beside a tag of its own class in the same gap, or as a
+member of the class it stands in.  It is ordered if a text follows the same tag of
+its class, in the gap, as the same of the texts there; a text that does not, or
+one that moves between gaps, belongs to the page.  Classes are not refined by
+the gaps once more: roles of equal tokens are told apart by their paths only.
 
 A slot's role follows from the template tags around it: menus, headers,
 footers, sidebars, notices, adverts, forms, scripts and reader comments are
@@ -114,8 +123,8 @@ def _names(tag: str, attributes: str) -> tuple[str, bool, bool]:
     return label, aside, named and tag not in UNNAMED
 
 
-def parse(page: str) -> tuple[list[Block], Counter]:
-    """The blocks of text of a page, in order, and how often each container path occurs."""
+def parse(page: str, trail: list | None = None) -> tuple[list[Block], Counter]:
+    """The blocks of text of a page, in order, and how often each container path occurs; ``trail`` gets both as they come."""
     blocks: list[Block] = []
     paths: Counter = Counter()
     stack: list[tuple[str, str, bool, bool, bool, bool]] = []  # tag, path, aside, around, within, main
@@ -132,6 +141,8 @@ def parse(page: str) -> tuple[list[Block], Counter]:
                 _, path, aside, around, within, main = stack[-1] if stack else bare
                 linked = len(html.unescape("".join(links)).split()) if links else 0
                 blocks.append(Block(path, text, aside, around, within, main, text.count(" ") + 1, linked))
+                if trail is not None:
+                    trail.append(blocks[-1])
             parts.clear()
             links.clear()
 
@@ -184,6 +195,8 @@ def parse(page: str) -> tuple[list[Block], Counter]:
             path = f"{path}/{label}"
             stack.append((tag, path, aside or apart, around or named and not main, within or named and main, main))
             paths[path] += 1
+            if trail is not None:
+                trail.append(path)
     flush()
     return blocks, paths
 
@@ -209,8 +222,8 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows() -> pa.RecordBatch:
         keys, values = list(found), list(found.values())
         arrays = [pa.array([k[i] for k in keys], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.bool_()))]
-        arrays += [pa.array([((v[i] + (1 << 63)) & mask) - (1 << 63) for v in values], pa.int64()) for i in range(4)]
-        return pa.RecordBatch.from_arrays(arrays, names=["host", "token", "is_text", "pages", "sum", "words", "linked"])
+        arrays += [pa.array([((v[i] + (1 << 63)) & mask) - (1 << 63) for v in values], pa.int64()) for i in range(5)]
+        return pa.RecordBatch.from_arrays(arrays, names=["host", "token", "is_text", "pages", "sum", "words", "linked", "times"])
 
     for batch in batches:
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -227,11 +240,12 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     own[2] += b.linked
                     counts.setdefault((host, _hash(b.slot, b.text), True), [0, 0, 0])[0] += 1
             for key, (n, words, linked) in counts.items():
-                held = found.setdefault(key, [0, 0, 0, 0])
+                held = found.setdefault(key, [0, 0, 0, 0, 0])
                 held[0] += 1
                 held[1] = (held[1] + n * of_page) & mask
                 held[2] += words
                 held[3] += linked
+                held[4] += n
             if len(found) > 50_000:
                 yield rows()
                 found.clear()
@@ -242,19 +256,130 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
+class _Host:
+    """The tokens of a host's classes, and the classes that paths stand in."""
+
+    def __init__(self, known: list[dict]):
+        self.tags = {k["token"]: (k["class"], k["once"]) for k in known if not k["is_text"]}
+        self.texts = {k["token"]: (k["class"], k["once"]) for k in known if k["is_text"]}
+        self.around: dict[str, int] = {}
+
+    def enclosing(self, path: str) -> int:
+        """The class of the nearest tag of a path, itself included, that pages have at most once."""
+        if path not in self.around:
+            if len(self.around) > 10_000:
+                self.around.clear()
+            kind, once = self.tags.get(_hash(path), (0, False))
+            self.around[path] = kind if once or not path else self.enclosing(path.rpartition("/")[0])
+        return self.around[path]
+
+
+def _gaps(page: str, host: _Host) -> Iterator[tuple[int, bool, int, int | None, bool]]:
+    """Token, whether it is text, gap, place in the gap and whether it is of the class it stands in, of a page's tokens of classes."""
+    trail: list = [""]
+    parse(page, trail)
+    last: dict[int, int] = {}
+    places: dict[int, list[int]] = {}  # by class: gap, its last tag in it, texts since then
+    for one in trail:
+        is_text = isinstance(one, Block)
+        if is_text and one.main:
+            continue
+        token = _hash(one.slot, one.text) if is_text else _hash(one)
+        kind, once = (host.texts if is_text else host.tags).get(token, (None, False))
+        if kind is None:
+            continue
+        around = host.enclosing(one.slot if is_text else one.rpartition("/")[0])
+        gap = _hash(str(around), str(last.get(around, 0)))
+        if not is_text:
+            places[kind] = [gap, token, 0]
+            last[kind] = token
+            yield token, False, gap, 0, kind == around
+            continue
+        place = places.get(kind)
+        if place is None or place[0] != gap:
+            place = places[kind] = [gap, 0, 0]
+        # Before the first tag of a round the round before may be in sight or not.
+        yield token, True, gap, _hash(str(place[1]), str(place[2])) if once or place[1] else None, kind == around
+        place[2] += 1
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per host and token the least and largest gap and place, and whether it is of the class it stands in."""
+    names = ["host", "token", "is_text", "gap", "gap_to", "place", "place_to", "own"]
+    kinds = [pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+    found: dict[tuple, list] = {}
+    hosts: dict[str, _Host] = {}
+
+    def rows() -> pa.RecordBatch:
+        flat = [(*key, *value) for key, value in found.items()]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in flat], kind) for i, kind in enumerate(kinds)], names=names)
+
+    for batch in batches:
+        for k, (host, page) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+            if host not in hosts:
+                if len(hosts) > 100:
+                    hosts.clear()
+                hosts[host] = _Host(batch.column(2)[k].as_py())
+            for token, is_text, gap, place, own in _gaps(page or "", hosts[host]):
+                held = found.setdefault((host, token, is_text), [gap, gap, place, place, own])
+                held[0], held[1], held[4] = min(held[0], gap), max(held[1], gap), held[4] and own
+                if place is not None:
+                    held[2] = place if held[2] is None else min(held[2], place)
+                    held[3] = place if held[3] is None else max(held[3], place)
+            if len(found) > 50_000:
+                yield rows()
+                found.clear()
+    yield rows()
+
+
+def _by_host(rows: DataFrame, side: DataFrame, how: str) -> DataFrame:
+    """``rows`` with ``page_id``, ``url`` and ``__host`` joined with ``side``, one row per host.
+
+    The side is broadcast if measured to be small; else rows are dealt out over
+    copies of it, so no host meets in one task.
+    """
+    side = settled(side).withColumnRenamed("host", "__host")
+    if fits_broadcast(side.select("__host", *[F.to_json(c).alias(c) for c in side.columns if c != "__host"])):
+        return rows.join(F.broadcast(side), "__host", how)
+    dealt = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("__salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(dealt, ["__host", "__salt"], how)
+
+
+def nested_and_ordered(pages: DataFrame, tags: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of the ``host, token`` of ``texts``, tokens of classes, that classes still hold when they are nested and ordered."""
+    kind = F.xxhash64("pages", "sum").alias("class")
+    known = tags.select("host", "token", kind, (F.col("times") == F.col("pages")).alias("once"), F.lit(False).alias("is_text")).unionByName(
+        texts.select("host", "token", kind, (F.col("times") == F.col("pages")).alias("once"), F.lit(True).alias("is_text"))
+    )
+    side = known.groupBy("host").agg(F.collect_list(F.struct("token", "class", "once", "is_text")).alias("known"), F.max("is_text").alias("any")).where("any").drop("any")
+    rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("__host"))
+    places = (
+        _by_host(rows, side, "inner").select("__host", "html", "known")
+        .mapInArrow(_places, "host string, token long, is_text boolean, gap long, gap_to long, place long, place_to long, own boolean")
+        .groupBy("host", "token", "is_text")
+        .agg(F.min("gap").alias("gap"), F.max("gap_to").alias("gap_to"), F.min("place").alias("place"), F.max("place_to").alias("place_to"), F.min("own").alias("own"))
+        .where("gap = gap_to AND (place IS NULL OR place = place_to)")
+    )
+    steady = settled(places.join(known.select("host", "token", "is_text", "class"), ["host", "token", "is_text"]))
+    beside = steady.where("NOT is_text").select("host", "class", "gap").distinct().withColumn("beside", F.lit(True))
+    held = steady.where("is_text").join(beside, ["host", "class", "gap"], "left")
+    return held.where("own OR beside").select("host", "token")
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """``host, text, menus``: hashes of the template's text and of its slots of links, of hosts that have any."""
     tokens = (
         pages.select(host_of(F.col("url")).alias("host"), "html")
-        .mapInArrow(_tokens, "host string, token long, is_text boolean, pages long, sum long, words long, linked long")
+        .mapInArrow(_tokens, "host string, token long, is_text boolean, pages long, sum long, words long, linked long, times long")
         .groupBy("host", "token", "is_text")
-        .agg(F.sum("pages").alias("pages"), F.expr("pmod(sum(cast(sum as decimal(20, 0))), 18446744073709551616BD)").alias("sum"), F.sum("words").alias("words"), F.sum("linked").alias("linked"))
+        .agg(F.sum("pages").alias("pages"), F.expr("pmod(sum(cast(sum as decimal(20, 0))), 18446744073709551616BD)").alias("sum"), F.sum("words").alias("words"), F.sum("linked").alias("linked"), F.sum("times").alias("times"))
         .where(F.col("pages") >= SUPPORT)
     )
     tokens = settled(tokens)
     tags = tokens.where("NOT is_text")
     valid = tags.groupBy("host", "pages", "sum").agg(F.count(F.lit(1)).alias("tags"))
-    texts = tokens.where("is_text").join(valid, ["host", "pages", "sum"]).groupBy("host").agg(F.collect_set("token").alias("text"))
+    texts = nested_and_ordered(pages, tags, tokens.where("is_text").join(valid, ["host", "pages", "sum"]))
+    texts = texts.groupBy("host").agg(F.collect_set("token").alias("text"))
     menus = tags.where(F.col("linked") * 100 >= F.col("words") * LINKS).where("words > 0").groupBy("host").agg(F.collect_set("token").alias("menus"))
     return texts.join(menus, "host", "full").select("host", "text", "menus")
 
@@ -276,18 +401,9 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """``page_id, url, text, n_chars`` of every page.
-
-    Templates, one row per host, are broadcast if measured to be small; else
-    pages are dealt out over copies of them, so no host meets in one task.
-    """
-    side = settled(templates(pages)).withColumnRenamed("host", "__host")
+    """``page_id, url, text, n_chars`` of every page."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host_of(F.col("url")).alias("__host"))
-    if fits_broadcast(side.select("__host", F.to_json("text").alias("text"), F.to_json("menus").alias("menus"))):
-        joined = rows.join(F.broadcast(side), "__host", "left")
-    else:
-        dealt = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = rows.withColumn("__salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(dealt, ["__host", "__salt"], "left")
+    joined = _by_host(rows, templates(pages), "left")
     return joined.select("page_id", "url", "html", "text", "menus").mapInArrow(
         _extract, "page_id long, url string, text string, n_chars long"
     )
