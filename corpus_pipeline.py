@@ -10,6 +10,9 @@ text the one of smallest id, null last.  Texts of any length are read whole.
 Columns beside those of ``documents`` are carried along, whatever their names
 and types; where one is called ``copy``, the last stage's is ``copy_2``.  An empty
 table gives an empty result.
+
+The stages that run Python bound the session's Arrow batches, so that an
+executor's memory outside the heap does not grow with them.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.llm import decontamination, language_id, mixing, ngram_join, prefix_free
-from tokenloom.session import shared_folder
+from tokenloom.session import in_small_batches, shared_folder
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,17 +33,20 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The model learns from three quarters of the labelled documents, as the
     query does.  Texts without a letter and ambiguous ones go.
     """
+    in_small_batches(spark)
     model = language_id.fit(docs.where(language_id.learnable(F.col("doc_id"))))
     return docs.where(language_id.is_clear(model, F.col("text")))
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of similar documents: five words, 80 %; repeated rows are a group."""
+    in_small_batches(spark)
     return ngram_join.one_per_group(docs, repeated=False)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the strings of 50 bytes that earlier ones have; those of which nothing is left go."""
+    in_small_batches(spark)
     kept = prefix_free.remove_repeats(docs)
     return kept.where((F.col("__pfp_removed") == 0) | (F.col("__pfp_removed") < F.col("__pfp_bytes"))).select(
         *[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
@@ -49,6 +55,7 @@ def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
+    in_small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.clean(docs, benchmark)
 

@@ -4,15 +4,21 @@ from __future__ import annotations
 
 import hashlib
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from __spark_entry__ import queries
+from tokenloom import session
 from tokenloom.llm import cross_polytope, decontamination, spelling_trie, token_alignment
 
 # -- op11 ---------------------------------------------------------------------
@@ -370,3 +376,60 @@ def test_pipeline_of_nothing(spark, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{SF_DIR}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert queries()["pipeline"](spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("stage", ["language", "similar", "repeats", "benchmark"])
+def test_stages_send_small_batches_to_python(spark, tmp_path, stage):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    texts = [(i, f"{i} " + f"word{i} of text " * 4_000) for i in range(200)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").withColumn("lang", F.lit("en")).withColumn("n_chars", F.length("text")).coalesce(1)
+    docs.limit(2).selectExpr("doc_id AS item_id", "left(text, 200) AS text").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    def sizes(batches):
+        for batch in batches:
+            yield batch.select(["doc_id"]).slice(0, 1).set_column(0, "bytes", pa.array([batch.get_total_buffer_size()]))
+
+    try:
+        spark.conf.set(name, "64m")
+        dict(corpus_pipeline.STAGES)[stage](spark, docs, str(tmp_path))
+        found = [r.bytes for r in docs.select("doc_id", "text").mapInArrow(sizes, "bytes long").collect()]
+        assert sum(found) > 2 * session.BATCH_BYTES and max(found) <= 2 * session.BATCH_BYTES
+        spark.conf.set(name, "1m")
+        session.in_small_batches(spark)
+        assert spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.set(name, before)
+
+
+AFTER_A_BLOCK = """
+import re
+import numpy as np, pyarrow as pa
+from tokenloom.llm import prefix_free
+
+def held():
+    rollup = open("/proc/self/smaps_rollup").read()
+    return int(re.search(r"Anonymous: +([0-9]+)", rollup)[1]) / 1024
+
+def block(texts):
+    docs, sink = pa.table({"doc_id": np.arange(len(texts)), "text": texts}), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, docs.schema) as out:
+        out.write_table(docs)
+    return pa.table({"rows": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+
+letters = np.random.default_rng(3).integers(97, 123, (4_000, 3_000), np.uint8)
+texts = [bytes(x).decode() for x in letters]
+none = pa.schema([(n, pa.binary()) for n in ("at", "first", "docs")] + [(n, pa.int64()) for n in ("blk", "step", "bucket")]).empty_table()
+run, key, few, many = prefix_free._ask(4, 7, 50), (pa.scalar(0),), block(texts[:2]), block(texts)
+run(key, few, none)
+before = held()
+run(key, many, none)
+print(held() - before)
+"""
+
+
+@pytest.mark.skipif(not Path("/proc/self/smaps_rollup").exists(), reason="needs Linux")
+def test_a_worker_does_not_keep_what_a_block_took():
+    here = Path(__file__).resolve().parents[2]
+    done = subprocess.run([sys.executable, "-c", AFTER_A_BLOCK], cwd=here, capture_output=True, text=True, check=True)
+    assert float(done.stdout) < 5

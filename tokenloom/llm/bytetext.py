@@ -8,6 +8,7 @@ a batch holds.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -162,3 +163,15 @@ def digest(h: np.ndarray) -> tuple[int, int]:
 
 def binary(values: list[bytes | np.ndarray]) -> pa.Array:
     return pa.array([v if isinstance(v, bytes) else v.tobytes() for v in values], pa.binary())
+
+
+def give_back() -> None:
+    """Hand what numpy and Arrow have freed back to the system.
+
+    Spark keeps a Python worker for later tasks, and it would keep the most that
+    any of them took.  C libraries other than glibc's hand back nothing here.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokenloom.llm.bytetext import mix, pieces, prefix_hash, span_hashes
+from tokenloom.llm.bytetext import give_back, mix, pieces, prefix_hash, span_hashes
 
 LENGTH = 50
 GRAM = 16
@@ -262,18 +262,24 @@ def _answer(key: tuple, table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=["blk", "step", "bucket", "at", "first", "docs"])
 
 
+def _requests(blk: int, docs: pa.Table, replies: pa.Table | None, step: int, bits: int, length: int) -> pa.Table:
+    block = Block(unpacked(docs), length)
+    if step > 1:
+        block.phrases(block.known.told(replies, 1, bits)[1])
+    if step > 2:
+        block.sides(*block.known.told(replies, 2, bits))
+    if step > 3:
+        block.suffixes(block.known.told(replies, 3, bits)[1])
+    return block.known.requests(blk, step, bits)
+
+
 def _ask(step: int, bits: int, length: int) -> Callable:
     """The requests of a step, from a block's documents and the replies so far."""
 
     def run(key: tuple, docs: pa.Table, replies: pa.Table | None = None) -> pa.Table:
-        block = Block(unpacked(docs), length)
-        if step > 1:
-            block.phrases(block.known.told(replies, 1, bits)[1])
-        if step > 2:
-            block.sides(*block.known.told(replies, 2, bits))
-        if step > 3:
-            block.suffixes(block.known.told(replies, 3, bits)[1])
-        return block.known.requests(key[0].as_py(), step, bits)
+        asked = _requests(key[0].as_py(), docs, replies, step, bits, length)
+        give_back()
+        return asked
 
     return run
 
@@ -330,27 +336,33 @@ def unpacked(table: pa.Table) -> pa.Table:
     return pa.concat_tables(parts)
 
 
+def _kept(docs: pa.Table, replies: pa.Table, bits: int, length: int, schema: T.StructType, with_text: bool) -> pa.Table:
+    docs = unpacked(docs)
+    block = Block(docs, length)
+    null = docs.column("text").is_null().combine_chunks().take(pa.array(block.order)).to_pylist()
+    given = docs.drop_columns(["text"]).take(pa.array(block.order))
+    del docs  # the block has the texts
+    block.phrases(block.known.told(replies, 1, bits)[1])
+    block.sides(*block.known.told(replies, 2, bits))
+    block.suffixes(block.known.told(replies, 3, bits)[1])
+    report, texts = [], []
+    for none, (size, removed, spans, left) in zip(null, block.kept(block.known.told(replies, 4, bits)[0]), strict=True):
+        report.append((size, removed, spans, hashlib.sha256(left).hexdigest()))
+        if with_text:
+            texts.append(None if none else left.decode(errors="ignore"))
+    columns = {name: given.column(name) for name in given.column_names}
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
+    columns |= {f"__pfp_{name}": pa.array([r[k] for r in report], kinds[k]) for k, name in enumerate(("bytes", "removed", "spans", "sha256"))}
+    if with_text:
+        columns["text"] = pa.array(texts, pa.string())
+    return pa.Table.from_pydict({f.name: columns[f.name] for f in schema.fields})
+
+
 def _finish(bits: int, length: int, schema: T.StructType, with_text: bool) -> Callable:
     def run(key: tuple, docs: pa.Table, replies: pa.Table) -> pa.Table:
-        docs = unpacked(docs)
-        block = Block(docs, length)
-        null = docs.column("text").is_null().combine_chunks().take(pa.array(block.order)).to_pylist()
-        given = docs.drop_columns(["text"]).take(pa.array(block.order))
-        del docs  # the block has the texts
-        block.phrases(block.known.told(replies, 1, bits)[1])
-        block.sides(*block.known.told(replies, 2, bits))
-        block.suffixes(block.known.told(replies, 3, bits)[1])
-        report, texts = [], []
-        for none, (size, removed, spans, left) in zip(null, block.kept(block.known.told(replies, 4, bits)[0]), strict=True):
-            report.append((size, removed, spans, hashlib.sha256(left).hexdigest()))
-            if with_text:
-                texts.append(None if none else left.decode(errors="ignore"))
-        columns = {name: given.column(name) for name in given.column_names}
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
-        columns |= {f"__pfp_{name}": pa.array([r[k] for r in report], kinds[k]) for k, name in enumerate(("bytes", "removed", "spans", "sha256"))}
-        if with_text:
-            columns["text"] = pa.array(texts, pa.string())
-        return pa.Table.from_pydict({f.name: columns[f.name] for f in schema.fields})
+        kept = _kept(docs, replies, bits, length, schema, with_text)
+        give_back()
+        return kept
 
     return run
 
