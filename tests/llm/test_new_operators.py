@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from __spark_entry__ import queries
 from tokenloom import session
-from tokenloom.llm import cross_polytope, decontamination, spelling_trie, token_alignment
+from tokenloom.llm import cross_polytope, decontamination, prefix_free, spelling_trie, token_alignment
 
 # -- op11 ---------------------------------------------------------------------
 
@@ -433,3 +433,44 @@ def test_a_worker_does_not_keep_what_a_block_took():
     here = Path(__file__).resolve().parents[2]
     done = subprocess.run([sys.executable, "-c", AFTER_A_BLOCK], cwd=here, capture_output=True, text=True, check=True)
     assert float(done.stdout) < 5
+
+
+# -- op10 ---------------------------------------------------------------------
+
+
+def packed(texts):
+    return pa.table({"rows": pa.array([prefix_free._compressed(pa.table({"doc_id": np.arange(len(texts)), "text": texts}))], pa.binary())})
+
+
+def test_each_step_of_repeats_is_asked_and_answered_once(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    plan = prefix_free.repeat_report(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("FlatMapCoGroupsInArrow") == 4 and plan.count("FlatMapGroupsInArrow") == 5
+
+
+def test_texts_are_parsed_in_two_steps_only(monkeypatch):
+    parse, parsed = prefix_free.parse, []
+    monkeypatch.setattr(prefix_free, "parse", lambda data, *more: parsed.append(len(data)) or parse(data, *more))
+    rng = np.random.default_rng(11)
+    passage = bytes(rng.integers(97, 123, 300, np.uint8)).decode()
+    texts = [passage + bytes(rng.integers(97, 123, 200, np.uint8)).decode() for _ in range(4)]
+    docs, bits, sizes = packed(texts), 5, []
+    asked = prefix_free._first_ask(bits, 50)((pa.scalar(0),), docs)
+    for step in (2, 3, 4):
+        sizes.append(sum(parsed))
+        bucket = asked.column("bucket").to_numpy()
+        replies = [prefix_free._answer((pa.scalar(int(b)),), asked.filter(pa.array(bucket == b))) for b in np.unique(bucket)]
+        asked = prefix_free._ask(step, bits, 50)((pa.scalar(0),), docs, pa.concat_tables(replies))
+    assert sizes == [2000, 4000, 4000] and sum(parsed) == 4000
+
+
+def test_keys_of_spans_do_not_depend_on_other_spans(monkeypatch):
+    data = np.tile(np.random.default_rng(12).integers(0, 256, 200, np.uint8), 2)
+    start = np.arange(200).repeat(6)
+    end = start + np.tile([8, 9, 16, 50, 57, 84], 200)
+    keys = prefix_free.span_keys(data, start, end)
+    assert len(np.unique(keys)) == len(keys)
+    here = end + 200 <= len(data)
+    assert (prefix_free.span_keys(data, start[here] + 200, end[here] + 200) == keys[here]).all()
+    monkeypatch.setattr(prefix_free, "SPANS", 1)
+    assert (prefix_free.span_keys(data, start, end) == keys).all()

@@ -26,8 +26,11 @@ range sort would put the suffixes of a frequent passage into one task.
 *Spark.*  Documents are dealt once to blocks of about ``BLOCK_BYTES``.  Each
 step sends a block's distinct keys to buckets, folded to the first document and
 a count, and gets back what other blocks know of them; so a key held by a third
-of all documents is one entry per block.  All steps read the same shuffle, of
-compressed batches of rows.
+of all documents is one entry per block.  With the keys goes a *note* of the
+block to itself, which a bucket hands back as it is: the phrases still in
+question and the bytes known to be repeated.  So a step needs the answers of the
+step before it only, and no more than two steps parse.  All steps read the same
+shuffle, of compressed batches of rows.
 
 A null text is an empty one and comes back null; texts below ``LENGTH`` bytes
 lose nothing.  A null id counts as larger than any other; rows of equal id do
@@ -48,64 +51,121 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokenloom.llm.bytetext import give_back, mix, pieces, prefix_hash, span_hashes
+from tokenloom.llm.bytetext import give_back, mix, pieces, text_bytes
 
 LENGTH = 50
 GRAM = 16
 BLOCK_BYTES = 6 << 20
 # A task packs the rows of a block together as often as it has read so much.
 PACK_BYTES = 24 << 20
-# Places in a piece of no more bytes are kept in 32 bits.
-NARROW = 1 << 30
+# Texts are parsed in pieces of so many bytes, or one longer text.
+PIECE = 1 << 16
+# Spans hashed at once.
+SPANS = 1 << 15
 LAST = (1 << 63) - 1
 
-REQUEST = "bucket int, blk long, step int, keys binary, first binary, docs binary"
-REPLY = "blk long, step int, bucket int, at binary, first binary, docs binary"
+REQUEST = "bucket int, blk long, keys binary, first binary, docs binary, note binary"
+REPLY = "blk long, bucket int, at binary, first binary, docs binary, note binary"
 
+_RANK = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)]
+_NONE = np.zeros(0, np.int64)
 
-def _least(h: np.ndarray, width: int) -> np.ndarray:
-    """Leftmost place of the least hash in each run of ``width`` places."""
-    low = (h >> np.uint64(32) << np.uint64(32)) | np.arange(len(h), dtype=np.uint64)
+
+def _ranks(data: np.ndarray) -> np.ndarray:
+    """A 32-bit hash of the ``GRAM`` bytes from each place on."""
+    four = np.empty(len(data) - 3, "<u4")
+    for p in range(min(4, len(four))):
+        here = four[p::4]
+        here[:] = data[p : p + 4 * len(here)].view("<u4")
+    n = len(data) - GRAM + 1
+    out = four[:n] * _RANK[0]
+    for k in range(1, GRAM // 4):
+        out += four[4 * k : 4 * k + n] * _RANK[k]
+    return out
+
+
+def _least(ranks: np.ndarray, width: int) -> np.ndarray:
+    """Least rank in each run of ``width`` places, above its leftmost place in the lower 32 bits."""
+    both = np.empty((len(ranks), 2), "<u4")
+    both[:, 0], both[:, 1] = np.arange(len(ranks), dtype=np.uint32), ranks
+    low = both.view("<u8")[:, 0]
+    spare = np.empty_like(low)
     reach = 1
-    while reach * 2 <= width:
-        low = np.minimum(low[:-reach], low[reach:])
-        reach *= 2
-    if reach < width:
-        low = np.minimum(low[: len(low) - (width - reach)], low[width - reach :])
-    return (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
-
-
-def parse(data: np.ndarray, off: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """Phrases of texts: text, first and last string start, trigger's place and hash."""
-    prefix = prefix_hash(data)
-    none = np.zeros(0, np.int64)
-    if len(data) < length:
-        return none, none, none, none, none.astype(np.uint64)
-    at = np.arange(len(data) - GRAM + 1)
-    h = span_hashes(prefix, at, at + GRAM)
-    trigger = _least(h, length - GRAM + 1)
-    text = np.repeat(np.arange(len(off) - 1), np.diff(off))[: len(trigger)]
-    whole = off[text + 1] - np.arange(len(trigger)) >= length
-    new = np.ones(len(trigger), bool)
-    new[1:] = (trigger[1:] != trigger[:-1]) | (text[1:] != text[:-1]) | ~whole[:-1]
-    last = np.ones(len(trigger), bool)
-    last[:-1] = new[1:] | ~whole[1:]
-    lo, hi = np.flatnonzero(new & whole), np.flatnonzero(last & whole)
-    return text[lo], lo, hi, trigger[lo], h[trigger[lo]]
-
-
-def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return span_hashes(prefix_hash(data), start, end) if len(start) else np.zeros(0, np.uint64)
+    while reach < width:
+        step = min(reach, width - reach)
+        n = len(low) - step
+        np.minimum(low[:n], low[step:], out=spare[:n])
+        low, spare = spare[:n], low
+        reach += step
+    return low
+
+
+def parse(data: np.ndarray, off: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Phrases of texts: first and last string start, and the trigger's place."""
+    n = len(data) - length + 1
+    if n < 1:
+        return _NONE, _NONE, _NONE
+    low = _least(_ranks(data), length - GRAM + 1)
+    new = np.ones(n, bool)
+    np.not_equal(low[1:], low[:-1], out=new[1:])
+    first, past = off[:-1], off[1:] - length + 1
+    new[first[first < n]] = True
+    new[past[(past > first) & (past < n)]] = True
+    lo = np.flatnonzero(new)
+    hi = np.append(lo[1:], n) - 1
+    whole = hi + length <= off[np.searchsorted(off, lo, side="right")]
+    lo, hi = lo[whole], hi[whole]
+    return lo, hi, (low[lo] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def span_keys(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit keys of spans of eight bytes or more; equal spans have equal keys wherever they stand."""
+    out = np.empty(len(start), np.uint64)
+    if not len(start):
+        return out
+    words = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    for k in range(0, len(start), SPANS):
+        at, last = start[k : k + SPANS], end[k : k + SPANS] - 8
+        reach = last - at + 8
+        h = mix(reach.astype(np.uint64))
+        for ahead in range(0, int(reach.max()), 8):
+            # a span's words are its own affair, however long its neighbours here are
+            np.copyto(h, mix(h + words[np.minimum(at + ahead, last)]), where=ahead < reach)
+        out[k : k + SPANS] = h
+    return out
+
+
+def _written(columns: dict[str, np.ndarray]) -> bytes:
+    """A note of columns, each of its own length, as compressed differences."""
+    return _compressed(pa.table({name: pa.array([np.diff(x, prepend=0).astype(np.int64)], pa.list_(pa.int64())) for name, x in columns.items()}))
+
+
+def _noted(replies: pa.Table, names: tuple[str, ...]) -> list[np.ndarray]:
+    """The columns of a block's note; without one they are empty."""
+    note = next((row["note"] for row in replies.to_pylist() if row.get("note")), None)
+    if note is None:
+        return [_NONE] * len(names)
+    table = pa.ipc.open_stream(note).read_all()
+    return [np.cumsum(table.column(name)[0].values.to_numpy()) for name in names]
+
+
+def _united(lo: np.ndarray, end: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of bytes that spans cover; a run stays in its document."""
+    order = np.argsort(lo)
+    lo, end, doc = lo[order], end[order], doc[order]
+    reach = np.maximum.accumulate(end + doc)
+    new = np.ones(len(lo), bool)
+    new[1:] = (lo + doc)[1:] > reach[:-1]
+    at = np.flatnonzero(new)
+    return lo[at], np.maximum.reduceat(end, at) if len(at) else end
 
 
 class Block:
-    """The documents of a block in order of id, parsed piece by piece.
-
-    Running hashes take eight bytes a byte, so a piece's are made anew for each step.
-    """
+    """The documents of a block in order of id."""
 
     def __init__(self, table: pa.Table, length: int):
         self.length = length
+        self.half = (length - GRAM + 1) // 2
         ids = table.column("doc_id").cast(pa.int64()).fill_null(LAST).to_numpy()
         texts = table.column("text").combine_chunks()
         texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
@@ -113,134 +173,118 @@ class Block:
         self.order = np.array(sorted(range(len(ids)), key=lambda i: (ids[i], raw[i].as_py())) if len(set(ids.tolist())) < len(ids) else np.argsort(ids), np.int64)
         self.ids = ids[self.order]
         self.texts = raw.take(pa.array(self.order))
-        self.parts, self.found, doc, trigger = [], [], [], []
-        for first, _, data, off in pieces(self.texts):
-            text, lo, hi, at, value = parse(data, off, length)
-            self.parts.append((data, off))
-            self.found.append(tuple(x.astype(np.int32) for x in (lo, hi, at)) if len(data) <= NARROW else (lo, hi, at))
-            doc.append(text + first)
-            trigger.append(mix(value))  # least hashes are small ones; mixed they fall evenly into buckets
-        self.doc = np.concatenate([np.zeros(0, np.int64), *doc])
-        self.known = Keys(np.concatenate([np.zeros(0, np.uint64), *trigger]), self.doc, self.ids)
-
-    def phrases(self, docs_of_trigger: np.ndarray) -> None:
-        """Keep the phrases whose trigger is in several places."""
-        many = docs_of_trigger[self.known.where] > 1
-        self.count = docs_of_trigger[self.known.where][many]
-        self.doc = self.doc[many]
-        keys, self.span, k = [], [], 0
-        for (data, _), (lo, hi, at) in zip(self.parts, self.found, strict=True):
-            mine = many[k : k + len(lo)]
-            k += len(lo)
-            keys.append(_hashes(data, lo[mine], hi[mine] + self.length))
-            self.span.append((lo[mine], hi[mine], at[mine]))
-        self.found = []
-        self.known = Keys(np.concatenate([np.zeros(0, np.uint64), *keys]), self.doc, self.ids)
-
-    def sides(self, first: np.ndarray, docs: np.ndarray) -> None:
-        """Tell repeated phrases from those that are left; keys of the latter's sides.
+        self.data, self.off = text_bytes(self.texts)
+
+    def doc(self, at: np.ndarray) -> np.ndarray:
+        """The document of each place."""
+        return np.searchsorted(self.off, at, side="right") - 1
+
+    def keys(self, start: np.ndarray, end: np.ndarray) -> Keys:
+        return Keys(span_keys(self.data, start, end), self.ids[self.doc(start)])
+
+    def parsed(self) -> tuple[np.ndarray, ...]:
+        """All phrases."""
+        found = [(_NONE,) * 3]
+        for first, _, data, off in pieces(self.texts, PIECE):
+            found.append(tuple(x + self.off[first] for x in parse(data, off, self.length)))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+    def triggers(self, at: np.ndarray) -> Keys:
+        return self.keys(at, at + GRAM)
+
+    def phrases(self, lo: np.ndarray, hi: np.ndarray) -> Keys:
+        return self.keys(lo, hi + self.length)
+
+    def sides(self, lo: np.ndarray, hi: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, Keys]:
+        """First and last string starts on either side of the trigger, and the keys of the sides.
 
         A string holds its trigger and half of the other bytes on the left or on
         the right of it.  So it is repeated only if that side is.
         """
-        self.whole = first[self.known.where] < self.ids[self.doc]
-        left = ~self.whole & (docs[self.known.where] != self.count)
-        keys, doc, self.ranges, k = [], [], [], 0
-        half = (self.length - GRAM + 1) // 2
-        for (data, _), (lo, hi, at) in zip(self.parts, self.span, strict=True):
-            mine = left[k : k + len(lo)]
-            lo, hi, at, of = lo[mine], hi[mine], at[mine], self.doc[k : k + len(mine)][mine]
-            k += len(mine)
-            before, after = lo <= at - half, hi > at - half
-            self.ranges.append((
-                np.concatenate([lo[before], np.maximum(lo, at - half + 1)[after]]),
-                np.concatenate([np.minimum(hi, at - half)[before], hi[after]]),
-            ))
-            reach = self.length - half + 1
-            keys.append(_hashes(data, np.concatenate([(at - half)[before], at[after]]), np.concatenate([(at + GRAM)[before], (at + reach)[after]])))
-            doc += [of[before], of[after]]
-        self.side_doc = np.concatenate([np.zeros(0, np.int64), *doc])
-        self.known = Keys(np.concatenate([np.zeros(0, np.uint64), *keys]), self.side_doc, self.ids)
-
-    def suffixes(self, docs: np.ndarray) -> None:
-        """Keys of the strings whose side is in several places."""
-        many = docs[self.known.where] > 1
-        keys, doc, self.start, k = [], [], [], 0
-        for (data, _), (lo, hi) in zip(self.parts, self.ranges, strict=True):
-            mine = many[k : k + len(lo)]
-            n = hi[mine] - lo[mine] + 1
-            start = np.repeat(lo[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            keys.append(_hashes(data, start, start + self.length))
-            doc.append(np.repeat(self.side_doc[k : k + len(lo)][mine], n))
-            self.start.append(start)
-            k += len(lo)
-        self.ranges = []
-        self.suffix_doc = np.concatenate([np.zeros(0, np.int64), *doc])
-        self.known = Keys(np.concatenate([np.zeros(0, np.uint64), *keys]), self.suffix_doc, self.ids)
-
-    def kept(self, first: np.ndarray) -> Iterator[tuple[int, int, int, bytes]]:
+        half = self.half
+        before, after = lo <= at - half, hi > at - half
+        reach = self.length - half + 1
+        return (
+            np.concatenate([lo[before], np.maximum(lo, at - half + 1)[after]]),
+            np.concatenate([np.minimum(hi, at - half)[before], hi[after]]),
+            self.keys(np.concatenate([(at - half)[before], at[after]]), np.concatenate([(at + GRAM)[before], (at + reach)[after]])),
+        )
+
+    def suffixes(self, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, Keys]:
+        """All string starts of the ranges, and their keys."""
+        n = hi - lo + 1
+        start = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return start, self.keys(start, start + self.length)
+
+    def kept(self, lo: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, int, int, bytes]]:
         """Bytes, removed bytes and runs, and the bytes that stay, of each document."""
-        again = first[self.known.where] < self.ids[self.suffix_doc]
-        k, j = 0, 0
-        for (data, off), (lo, hi, _), start in zip(self.parts, self.span, self.start, strict=True):
-            mine = self.whole[k : k + len(lo)]
-            k += len(lo)
-            single = start[again[j : j + len(start)]]
-            j += len(start)
-            edge = np.zeros(len(data) + 1, np.int32)
-            np.add.at(edge, lo[mine], 1)
-            np.add.at(edge, hi[mine] + self.length, -1)
-            np.add.at(edge, single, 1)
-            np.add.at(edge, single + self.length, -1)
-            gone = np.cumsum(edge)[:-1] > 0
-            for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
-                flags = gone[a:b]
-                removed = int(flags.sum())
-                runs = int((flags[1:] & ~flags[:-1]).sum() + flags[0]) if removed else 0
-                yield b - a, removed, runs, (data[a:b][~flags] if removed else data[a:b]).tobytes()
+        raw = memoryview(np.ascontiguousarray(self.data))
+        edges = np.searchsorted(lo, self.off).tolist()
+        off, lo, end = self.off.tolist(), lo.tolist(), end.tolist()
+        for a, b, i, j in zip(off[:-1], off[1:], edges[:-1], edges[1:], strict=True):
+            left = b"".join([raw[x:y] for x, y in zip([a, *end[i:j]], [*lo[i:j], b], strict=True)])
+            yield b - a, b - a - len(left), j - i, left
 
 
 class Keys:
     """A block's distinct keys with the first document of each and how often it occurs."""
 
-    def __init__(self, keys: np.ndarray, doc: np.ndarray, ids: np.ndarray):
-        order = np.argsort(keys, kind="stable")
-        sorted_keys, sorted_doc = keys[order], doc[order]
+    def __init__(self, keys: np.ndarray, ids: np.ndarray):
+        order = np.argsort(keys)
+        sorted_keys = keys[order]
         new = np.ones(len(keys), bool)
         new[1:] = sorted_keys[1:] != sorted_keys[:-1]
         at = np.flatnonzero(new)
         self.keys = sorted_keys[at]
-        self.first = ids[sorted_doc[at]] if len(at) else np.zeros(0, np.int64)
+        self.ids = ids
+        self.first = np.minimum.reduceat(ids[order], at) if len(at) else _NONE
         self.times = np.diff(np.append(at, len(keys))).astype(np.uint32)
         self.where = np.empty(len(keys), np.int64)
         self.where[order] = np.cumsum(new) - 1
 
-    def requests(self, blk: int, step: int, bits: int) -> pa.Table:
-        edges = np.searchsorted(self.keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)) if len(self.keys) else np.zeros(1, int)
+    def requests(self, blk: int, bits: int, with_first: bool, note: bytes | None = None) -> pa.Table:
+        """A row for each bucket, and one with the note."""
+        edges = np.searchsorted(self.keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+        edges = np.append(edges, len(self.keys))
         used = np.flatnonzero(np.diff(edges))
         cut = [slice(edges[b], edges[b + 1]) for b in used]
         blobs = [[x[c].tobytes() for c in cut] for x in (self.keys, self.first, self.times)]
-        if step in (1, 3):  # only counts are asked for
+        if not with_first:  # only counts are asked for
             blobs[1] = [b""] * len(cut)
-        columns = [pa.array(used, pa.int32()), pa.array([blk] * len(cut), pa.int64()), pa.array([step] * len(cut), pa.int32())]
-        return pa.Table.from_arrays([*columns, *(pa.array(b, pa.binary()) for b in blobs)], names=["bucket", "blk", "step", "keys", "first", "docs"])
+        rows = [(int(b), blk, *blob, None) for b, *blob in zip(used, *blobs, strict=True)]
+        if note is not None:
+            rows.append((blk % (1 << bits), blk, None, None, None, note))
+        return _rows(rows, ("bucket", "blk", "keys", "first", "docs", "note"))
 
-    def told(self, replies: pa.Table, step: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """First document and number of places over all blocks."""
+    def told(self, replies: pa.Table, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Whether an earlier document has each span, and its number of places over all blocks."""
         first, docs = self.first.copy(), self.times.astype(np.int64)
-        base = np.searchsorted(self.keys >> np.uint64(64 - bits), np.arange(1 << bits, dtype=np.uint64)) if len(self.keys) else None
+        base = np.searchsorted(self.keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
         for row in replies.to_pylist():
-            if row["step"] == step:
+            if row["at"] is not None:
                 at = np.frombuffer(row["at"], np.uint32) + base[row["bucket"]]
                 docs[at] = np.frombuffer(row["docs"], np.uint32)
                 if row["first"]:
                     first[at] = np.frombuffer(row["first"], np.int64)
-        return first, docs
+        return first[self.where] < self.ids, docs[self.where]
+
+
+def _rows(rows: list[tuple], names: tuple[str, ...]) -> pa.Table:
+    kinds = {"bucket": pa.int32(), "blk": pa.int64()}
+    return pa.Table.from_arrays([pa.array([r[i] for r in rows], kinds.get(name, pa.binary())) for i, name in enumerate(names)], names=list(names))
 
 
 def _answer(key: tuple, table: pa.Table) -> pa.Table:
-    """Tell each block what others know of its keys."""
-    rows = table.to_pylist()
+    """Tell each block what others know of its keys; its note goes back to it."""
+    bucket, names = key[0].as_py(), ("blk", "bucket", "at", "first", "docs", "note")
+    rows, out = [], []
+    for r in table.to_pylist():
+        if r["note"] is None:
+            rows.append(r)
+        else:
+            out.append((r["blk"], bucket, None, None, None, r["note"]))
+    if not rows:
+        return _rows(out, names)
     keys = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows])
     docs = np.concatenate([np.frombuffer(r["docs"], np.uint32) for r in rows])
     with_first = bool(rows[0]["first"])
@@ -250,31 +294,43 @@ def _answer(key: tuple, table: pa.Table) -> pa.Table:
         given = np.concatenate([np.frombuffer(r["first"], np.int64) for r in rows])
         least = np.full(len(total), LAST, np.int64)
         np.minimum.at(least, where, given)
-    out, k = [], 0
+    k = 0
     for r in rows:
         n = len(r["docs"]) // 4
         mine = where[k : k + n]
         more = np.flatnonzero(total[mine] > docs[k : k + n])
         k += n
         if len(more):
-            out.append((r["blk"], r["step"], key[0].as_py(), more.astype(np.uint32).tobytes(), least[mine[more]].tobytes() if with_first else b"", total[mine[more]].astype(np.uint32).tobytes()))
-    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-    return pa.Table.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=["blk", "step", "bucket", "at", "first", "docs"])
+            out.append((r["blk"], bucket, more.astype(np.uint32).tobytes(), least[mine[more]].tobytes() if with_first else b"", total[mine[more]].astype(np.uint32).tobytes(), None))
+    return _rows(out, names)
 
 
 def _requests(blk: int, docs: pa.Table, replies: pa.Table | None, step: int, bits: int, length: int) -> pa.Table:
     block = Block(unpacked(docs), length)
-    if step > 1:
-        block.phrases(block.known.told(replies, 1, bits)[1])
-    if step > 2:
-        block.sides(*block.known.told(replies, 2, bits))
-    if step > 3:
-        block.suffixes(block.known.told(replies, 3, bits)[1])
-    return block.known.requests(blk, step, bits)
+    if step == 1:
+        _, _, at = block.parsed()
+        return block.triggers(at).requests(blk, bits, False)
+    if step == 2:
+        lo, hi, at = block.parsed()
+        _, places = block.triggers(at).told(replies, bits)
+        lo, hi, at, places = (x[places > 1] for x in (lo, hi, at, places))
+        return block.phrases(lo, hi).requests(blk, bits, True, _written({"lo": lo, "hi": hi, "at": at, "places": places}))
+    if step == 3:
+        lo, hi, at, places = _noted(replies, ("lo", "hi", "at", "places"))
+        whole, docs_of = block.phrases(lo, hi).told(replies, bits)
+        gone, end = _united(lo[whole], hi[whole] + length, block.doc(lo[whole]))
+        left = ~whole & (docs_of != places)
+        lo, hi, at = lo[left], hi[left], at[left]
+        return block.sides(lo, hi, at)[2].requests(blk, bits, False, _written({"lo": lo, "hi": hi, "at": at, "gone": gone, "end": end}))
+    lo, hi, at, gone, end = _noted(replies, ("lo", "hi", "at", "gone", "end"))
+    lo, hi, sides = block.sides(lo, hi, at)
+    many = sides.told(replies, bits)[1] > 1
+    lo, hi = lo[many], hi[many]
+    return block.suffixes(lo, hi)[1].requests(blk, bits, True, _written({"lo": lo, "hi": hi, "gone": gone, "end": end}))
 
 
 def _ask(step: int, bits: int, length: int) -> Callable:
-    """The requests of a step, from a block's documents and the replies so far."""
+    """The requests of a step, from a block's documents and the answers to the step before."""
 
     def run(key: tuple, docs: pa.Table, replies: pa.Table | None = None) -> pa.Table:
         asked = _requests(key[0].as_py(), docs, replies, step, bits, length)
@@ -293,6 +349,13 @@ def _first_ask(bits: int, length: int) -> Callable:
     return alone
 
 
+def _compressed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
 def _pack() -> Callable:
     """Rows of a task packed by block: the shuffle moves compressed batches instead of rows."""
 
@@ -309,11 +372,8 @@ def _pack() -> Callable:
             edges = np.flatnonzero(np.diff(blk, prepend=-1, append=-1))
             rows = []
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-                sink = pa.BufferOutputStream()
                 part = table.slice(lo, hi - lo).drop_columns(["__pfp_block"]).take(pa.array(range(hi - lo)))
-                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                    out.write_table(part)
-                rows.append((int(blk[lo]), sink.getvalue().to_pybytes()))
+                rows.append((int(blk[lo]), _compressed(part)))
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["blk", "rows"])
 
         for batch in batches:
@@ -342,11 +402,14 @@ def _kept(docs: pa.Table, replies: pa.Table, bits: int, length: int, schema: T.S
     null = docs.column("text").is_null().combine_chunks().take(pa.array(block.order)).to_pylist()
     given = docs.drop_columns(["text"]).take(pa.array(block.order))
     del docs  # the block has the texts
-    block.phrases(block.known.told(replies, 1, bits)[1])
-    block.sides(*block.known.told(replies, 2, bits))
-    block.suffixes(block.known.told(replies, 3, bits)[1])
+    lo, hi, gone, end = _noted(replies, ("lo", "hi", "gone", "end"))
+    start, keys = block.suffixes(lo, hi)
+    start = start[keys.told(replies, bits)[0]]
+    del keys
+    gone, end = np.concatenate([gone, start]), np.concatenate([end, start + length])
+    gone, end = _united(gone, end, block.doc(gone))
     report, texts = [], []
-    for none, (size, removed, spans, left) in zip(null, block.kept(block.known.told(replies, 4, bits)[0]), strict=True):
+    for none, (size, removed, spans, left) in zip(null, block.kept(gone, end), strict=True):
         report.append((size, removed, spans, hashlib.sha256(left).hexdigest()))
         if with_text:
             texts.append(None if none else left.decode(errors="ignore"))
@@ -384,7 +447,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = True
     replies = asked.groupBy("bucket").applyInArrow(_answer, REPLY)
     for step in (2, 3, 4):
         asked = dealt.groupBy("blk").cogroup(replies.groupBy("blk")).applyInArrow(_ask(step, bits, length), REQUEST)
-        replies = replies.unionByName(asked.groupBy("bucket").applyInArrow(_answer, REPLY))
+        replies = asked.groupBy("bucket").applyInArrow(_answer, REPLY)
     report = [T.StructField(f"__pfp_{n}", T.LongType()) for n in ("bytes", "removed", "spans")] + [T.StructField("__pfp_sha256", T.StringType())]
     schema = T.StructType([f for f in docs.schema.fields if with_text or f.name != "text"] + report)
     return dealt.groupBy("blk").cogroup(replies.groupBy("blk")).applyInArrow(_finish(bits, length, schema, with_text), schema)
