@@ -474,3 +474,8 @@ def test_keys_of_spans_do_not_depend_on_other_spans(monkeypatch):
     assert (prefix_free.span_keys(data, start[here] + 200, end[here] + 200) == keys[here]).all()
     monkeypatch.setattr(prefix_free, "SPANS", 1)
     assert (prefix_free.span_keys(data, start, end) == keys).all()
+
+
+def test_buckets_are_fewer_than_blocks():
+    for blocks in (140, 8_600):
+        assert 2 <= blocks / (1 << prefix_free._bits(blocks)) < 4.4

@@ -142,10 +142,10 @@ def _written(columns: dict[str, np.ndarray]) -> bytes:
 
 def _noted(replies: pa.Table, names: tuple[str, ...]) -> list[np.ndarray]:
     """The columns of a block's note; without one they are empty."""
-    note = next((row["note"] for row in replies.to_pylist() if row.get("note")), None)
-    if note is None:
+    notes = replies.column("note").drop_null() if "note" in replies.column_names else ()
+    if not len(notes):
         return [_NONE] * len(names)
-    table = pa.ipc.open_stream(note).read_all()
+    table = pa.ipc.open_stream(notes[0].as_buffer()).read_all()
     return [np.cumsum(table.column(name)[0].values.to_numpy()) for name in names]
 
 
@@ -242,67 +242,72 @@ class Keys:
         self.where = np.empty(len(keys), np.int64)
         self.where[order] = np.cumsum(new) - 1
 
+    def base(self, bits: int) -> np.ndarray:
+        """Where the keys of each bucket begin."""
+        return np.searchsorted(self.keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+
     def requests(self, blk: int, bits: int, with_first: bool, note: bytes | None = None) -> pa.Table:
         """A row for each bucket, and one with the note."""
-        edges = np.searchsorted(self.keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
-        edges = np.append(edges, len(self.keys))
+        edges = np.append(self.base(bits), len(self.keys))
         used = np.flatnonzero(np.diff(edges))
-        cut = [slice(edges[b], edges[b + 1]) for b in used]
-        blobs = [[x[c].tobytes() for c in cut] for x in (self.keys, self.first, self.times)]
-        if not with_first:  # only counts are asked for
-            blobs[1] = [b""] * len(cut)
-        rows = [(int(b), blk, *blob, None) for b, *blob in zip(used, *blobs, strict=True)]
-        if note is not None:
-            rows.append((blk % (1 << bits), blk, None, None, None, note))
-        return _rows(rows, ("bucket", "blk", "keys", "first", "docs", "note"))
+        cut = np.append(edges[used], len(self.keys))
+        first = _cells(self.first, cut) if with_first else None  # without, only counts are asked for
+        asked = _rows(REQUEST, len(used), bucket=used, blk=np.full(len(used), blk), keys=_cells(self.keys, cut), first=first, docs=_cells(self.times, cut))
+        return asked if note is None else pa.concat_tables([asked, _rows(REQUEST, 1, bucket=[blk % (1 << bits)], blk=[blk], note=[note])])
 
     def told(self, replies: pa.Table, bits: int) -> tuple[np.ndarray, np.ndarray]:
         """Whether an earlier document has each span, and its number of places over all blocks."""
         first, docs = self.first.copy(), self.times.astype(np.int64)
-        base = np.searchsorted(self.keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
-        for row in replies.to_pylist():
-            if row["at"] is not None:
-                at = np.frombuffer(row["at"], np.uint32) + base[row["bucket"]]
-                docs[at] = np.frombuffer(row["docs"], np.uint32)
-                if row["first"]:
-                    first[at] = np.frombuffer(row["first"], np.int64)
+        at, edges = _values(replies, "at", np.uint32)
+        at = at + np.repeat(self.base(bits)[replies.column("bucket").to_numpy()], np.diff(edges))
+        docs[at] = _values(replies, "docs", np.uint32)[0]
+        given = _values(replies, "first", np.int64)[0]
+        if len(given):
+            first[at] = given
         return first[self.where] < self.ids, docs[self.where]
 
 
-def _rows(rows: list[tuple], names: tuple[str, ...]) -> pa.Table:
-    kinds = {"bucket": pa.int32(), "blk": pa.int64()}
-    return pa.Table.from_arrays([pa.array([r[i] for r in rows], kinds.get(name, pa.binary())) for i, name in enumerate(names)], names=list(names))
+def _cells(values: np.ndarray, cut: np.ndarray) -> pa.Array:
+    """The bytes of ``values[cut[i]:cut[i + 1]]`` in each row."""
+    return pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer((cut * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _values(table: pa.Table, name: str, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a column of cells, and the bounds of each row's; a null cell has none."""
+    column = table.column(name)
+    data, off = text_bytes(pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type))
+    return data.copy().view(kind), off // np.dtype(kind).itemsize
+
+
+def _rows(schema: str, n: int, **columns: pa.Array | np.ndarray | list | None) -> pa.Table:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = dict(field.split() for field in schema.split(", "))
+    given = {name: columns.get(name) for name in fields}
+    return pa.table({name: pa.nulls(n, kinds[fields[name]]) if x is None else x if isinstance(x, pa.Array) else pa.array(x, kinds[fields[name]]) for name, x in given.items()})
 
 
 def _answer(key: tuple, table: pa.Table) -> pa.Table:
     """Tell each block what others know of its keys; its note goes back to it."""
-    bucket, names = key[0].as_py(), ("blk", "bucket", "at", "first", "docs", "note")
-    rows, out = [], []
-    for r in table.to_pylist():
-        if r["note"] is None:
-            rows.append(r)
-        else:
-            out.append((r["blk"], bucket, None, None, None, r["note"]))
-    if not rows:
-        return _rows(out, names)
-    keys = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows])
-    docs = np.concatenate([np.frombuffer(r["docs"], np.uint32) for r in rows])
-    with_first = bool(rows[0]["first"])
+    bucket, is_note = key[0].as_py(), table.column("note").is_valid()
+    notes, table = table.filter(is_note), table.filter(pc.invert(is_note))
+    back = _rows(REPLY, len(notes), blk=notes.column("blk").to_numpy(), bucket=np.full(len(notes), bucket), note=notes.column("note").to_pylist())
+    keys, edges = _values(table, "keys", np.uint64)
+    docs, given = _values(table, "docs", np.uint32)[0], _values(table, "first", np.int64)[0]
     _, where = np.unique(keys, return_inverse=True)
     total = np.bincount(where, weights=docs).astype(np.int64)
-    if with_first:
-        given = np.concatenate([np.frombuffer(r["first"], np.int64) for r in rows])
+    more = total[where] > docs
+    at = (np.arange(len(keys)) - np.repeat(edges[:-1], np.diff(edges)))[more].astype(np.uint32)
+    count = np.diff(np.append(0, np.cumsum(more))[edges])
+    used = count > 0
+    cut = np.append(0, np.cumsum(count[used]))
+    first = None
+    if len(given):
         least = np.full(len(total), LAST, np.int64)
         np.minimum.at(least, where, given)
-    k = 0
-    for r in rows:
-        n = len(r["docs"]) // 4
-        mine = where[k : k + n]
-        more = np.flatnonzero(total[mine] > docs[k : k + n])
-        k += n
-        if len(more):
-            out.append((r["blk"], bucket, more.astype(np.uint32).tobytes(), least[mine[more]].tobytes() if with_first else b"", total[mine[more]].astype(np.uint32).tobytes(), None))
-    return _rows(out, names)
+        first = _cells(least[where[more]], cut)
+    blk = table.column("blk").to_numpy()[used]
+    out = _rows(REPLY, len(blk), blk=blk, bucket=np.full(len(blk), bucket), at=_cells(at, cut), first=first, docs=_cells(total[where[more]].astype(np.uint32), cut))
+    return pa.concat_tables([out, back])
 
 
 def _requests(blk: int, docs: pa.Table, replies: pa.Table | None, step: int, bits: int, length: int) -> pa.Table:
@@ -430,6 +435,14 @@ def _finish(bits: int, length: int, schema: T.StructType, with_text: bool) -> Ca
     return run
 
 
+def _bits(blocks: int) -> int:
+    """The buckets' number as a power of two; a bucket is asked what two to four blocks ask.
+
+    Each block sends each bucket a row, so more buckets would cost more in rows.
+    """
+    return max(5, min(17, blocks.bit_length() - 2))
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = True, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without the repeated bytes, and ``__pfp_bytes, __pfp_removed, __pfp_spans, __pfp_sha256``.
 
@@ -441,7 +454,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = True
         raise ValueError(f"strings must have {GRAM} bytes or more")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    bits = max(5, min(17, int(blocks).bit_length()))
+    bits = _bits(int(blocks))
     dealt = docs.withColumn("__pfp_block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).mapInArrow(_pack(), "blk long, rows binary")
     asked = dealt.groupBy("blk").applyInArrow(_first_ask(bits, length), REQUEST)
     replies = asked.groupBy("bucket").applyInArrow(_answer, REPLY)
