@@ -478,4 +478,4 @@ def test_keys_of_spans_do_not_depend_on_other_spans(monkeypatch):
 
 def test_buckets_are_fewer_than_blocks():
     for blocks in (140, 8_600):
-        assert 2 <= blocks / (1 << prefix_free._bits(blocks)) < 4.4
+        assert 2 <= blocks / (1 << prefix_free._bits(blocks)) < 4
